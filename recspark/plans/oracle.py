@@ -94,3 +94,25 @@ select m.mid, m.name, m.genres, t.tags from v_movies m left join
 ORACLES["dataset_summary"] = with_(V_RATINGS) + """
 select count(*) n_ratings, count(distinct uid) n_users, count(distinct mid) n_items
 from v_ratings"""
+
+ORACLES["vector_similar_items"] = with_(sims_cte(0.1, 20)) + """
+select mid, sim_mid, score, rk from v_sims"""
+
+ORACLES["similarity_long_form"] = ORACLES["vector_similar_items"]
+
+ORACLES["content_similar_items"] = with_(V_MOVIES).rstrip() + """,
+g as (select distinct lower(genres) genres from v_movies),
+tok as (select genres, unnest(string_split(genres,'|')) tok from g),
+m as (select count(*) m from v_movies),
+x as (select genres, tok, count(*) tf from tok group by 1,2),
+df as (select tok, count(distinct mid) df from v_movies join x on lower(v_movies.genres) = x.genres group by 1),
+w as (select x.genres, x.tok, tf*ln((m.m+1.0)/(df.df+1.0)) w from x join df on x.tok = df.tok cross join m),
+n as (select genres, sqrt(sum(w*w)) nrm from w group by 1),
+p as (select a.genres ga, b.genres gb, sum(a.w*b.w) dp from w a join w b on a.tok = b.tok group by 1,2),
+sim as (select ga, gb, floor(1000000*(dp/(na.nrm*nb.nrm)) + 0.5::double)/1000000 score
+        from p join n na on na.genres = ga join n nb on nb.genres = gb where na.nrm > 0 and nb.nrm > 0),
+r as (select a.mid, b.mid sim_mid, score,
+             row_number() over (partition by a.mid order by score desc, b.mid) rk
+      from sim join v_movies a on lower(a.genres) = ga join v_movies b on lower(b.genres) = gb
+      where a.mid <> b.mid and score > 0.6::double)
+select mid, sim_mid, score, rk from r where rk <= 20"""

@@ -10,7 +10,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from recspark.operators import stats, tags as tagops
+from recspark.operators import content, similarity, stats, topk
+from recspark.operators import tags as tagops
 from recspark.plans import views
 from recspark.plans.oracle import GENRE_TEST_LIST
 
@@ -71,3 +72,36 @@ def items_with_tags(spark, d):
 def dataset_summary(spark, d):
     """A6, A7."""
     return stats.dataset_summary(views.ratings(spark, d))
+
+
+# --- item similarity ----------------------------------------------------------
+
+def _vector_sims(spark, d):
+    # Embeddings: the highest cosine is about 0.5, so the floor is 0.1.
+    return similarity.similar_items(views.embeddings(spark, d), floor=0.1, k=20, digits=6)
+
+
+@query("vector_similar_items")
+def vector_similar_items(spark, d):
+    """V1, V3, F2, F3, W3 - blocked exact all-pairs cosine."""
+    return _vector_sims(spark, d)
+
+
+@query("similarity_long_form")
+def similarity_long_form(spark, d):
+    """A5 nest to (mid, recs) then S10 explode back to (mid, sim_mid, score, rk)."""
+    nested = topk.nest_recs(_vector_sims(spark, d), "mid", item_col="sim_mid")
+    return topk.explode_recs(nested, "mid").select("mid", "sim_mid", "score", "rk")
+
+
+@query("content_similar_items")
+def content_similar_items(spark, d):
+    """P4, exact TF-IDF, V3 over distinct genre strings, expansion, W3."""
+    return content.content_similar_items(views.movies(spark, d), floor=0.6, k=20, digits=6)
+
+
+@query("content_similar_items_hashed")
+def content_similar_items_hashed(spark, d):
+    """V2, V4, V5 (Spark ML Tokenizer/HashingTF(50)/IDF), V3 - rows only."""
+    return content.content_similar_items(views.movies(spark, d), floor=0.6, k=20,
+                                         digits=6, hashed=True)
