@@ -33,12 +33,18 @@ def yearmonth(epoch, zone: str = "UTC") -> Column:
     return F.date_format(local, "yyyyMM").cast("int")
 
 
-def round6(x) -> Column:
-    """Half-up rounding to 1e-6 written as floor(x*1e6 + 0.5)/1e6.
+def round_half_up(x, digits: int) -> Column:
+    """Half-up rounding written as floor(x * 10^d + 0.5) / 10^d.
 
-    The same text runs in DuckDB, so oracle values compare exactly.
+    The same text runs in DuckDB, so oracle values compare exactly (the
+    engines' ``round`` functions differ on decimal ties).
     """
-    return F.floor(_col(x) * F.lit(1000000.0) + F.lit(0.5)) / F.lit(1000000.0)
+    scale = F.lit(float(10 ** digits))
+    return F.floor(_col(x) * scale + F.lit(0.5)) / scale
+
+
+def round6(x) -> Column:
+    return round_half_up(x, 6)
 
 
 def array_norm(v) -> Column:

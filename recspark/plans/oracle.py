@@ -116,3 +116,74 @@ r as (select a.mid, b.mid sim_mid, score,
       from sim join v_movies a on lower(a.genres) = ga join v_movies b on lower(b.genres) = gb
       where a.mid <> b.mid and score > 0.6::double)
 select mid, sim_mid, score, rk from r where rk <= 20"""
+
+ORACLES["hash_split"] = with_(V_STREAM) + """
+select event_id, uid, mid, b % 10 as bucket,
+       case when b / 268435456.0 < 0.8 then 'train'
+            when b / 268435456.0 < 0.9 then 'validation' else 'test' end as split
+from (select *, cast('0x'||substr(md5(cast(event_id as varchar)),1,7) as bigint) b
+      from v_stream)"""
+
+ORACLES["kfold_split"] = with_(V_STREAM) + """
+select event_id, uid, mid,
+       cast(floor((row_number() over (order by event_id) - 1)
+                  / (select ceil(count(*) / 5.0) from v_stream)) as int) fold
+from v_stream"""
+
+ORACLES["leave_n_out_split"] = with_(V_STREAM) + """
+select event_id, uid, mid, case when rn between 1 and 10 then 'test' else 'base' end split
+from (select *, row_number() over (partition by uid order by event_id) rn from v_stream)"""
+
+ORACLES["leave_n_out_capped"] = with_(V_STREAM) + """
+select event_id, uid, mid,
+       case when hit and row_number() over (partition by hit order by event_id) <= 1000
+            then 'test' else 'base' end split
+from (select *, (rn between 11 and 20) hit
+      from (select *, row_number() over (partition by uid order by event_id) rn from v_stream))"""
+
+ORACLES["rmse_item_mean"] = with_(V_RATINGS) + """
+select floor(1000000*sqrt(sum((r.score-a.p)*(r.score-a.p))/count(*)) + 0.5::double)/1000000 rmse,
+       floor(1000000*sqrt(sum((r.score-a.p)*(r.score-a.p))/count(a.p)) + 0.5::double)/1000000 rmse_joined,
+       count(*) n_test, count(*) - count(a.p) n_missing
+from v_ratings r left join (select mid, avg(score) p from v_ratings group by mid) a on a.mid = r.mid"""
+
+ORACLES["rmse_item_mean_split"] = with_(V_RATINGS).rstrip() + """,
+s as (select *, case when cast('0x'||substr(md5(concat_ws('|', cast(uid as varchar),
+          cast(mid as varchar), cast(ts as varchar))),1,7) as bigint) / 268435456.0 < 0.8
+          then 'train' else 'test' end split from v_ratings),
+a as (select mid, avg(score) p from s where split = 'train' group by mid)
+select floor(1000000*sqrt(sum((r.score-a.p)*(r.score-a.p))/count(*)) + 0.5::double)/1000000 rmse,
+       floor(1000000*sqrt(sum((r.score-a.p)*(r.score-a.p))/count(a.p)) + 0.5::double)/1000000 rmse_joined,
+       count(*) n_test, count(*) - count(a.p) n_missing
+from s r left join a on a.mid = r.mid where r.split = 'test'"""
+
+ORACLES["recent_ratings"] = with_(V_STREAM) + """
+select uid, rn, event_id, mid, score, ts from (
+  select *, row_number() over (partition by uid order by ts desc, event_id desc) rn
+  from v_stream) where rn <= 20"""
+
+ORACLES["stream_candidates"] = with_(V_STREAM, V_RATINGS, sims_cte(0.1, 20)) + """
+select event_id, uid, rk, mid, sim from (
+  select l.event_id, l.uid, m.sim_mid mid, m.score sim,
+         row_number() over (partition by l.event_id order by m.score desc, m.sim_mid) rk
+  from v_stream l join v_sims m on m.mid = l.mid
+  where not exists (select 1 from v_ratings s where s.uid = l.uid and s.mid = m.sim_mid))
+where rk <= 20"""
+
+STREAM_RECS_SQL = with_(V_STREAM, V_RATINGS, sims_cte(0.1, 20)).rstrip() + """,
+o as (select *, row_number() over (partition by uid order by ts desc, event_id desc) rn from v_stream),
+cand as (select uid, mid from (
+    select l.uid, m.sim_mid mid, row_number() over (partition by l.uid order by m.score desc, m.sim_mid) rk
+    from o l join v_sims m on m.mid = l.mid
+    left join (select distinct uid, mid from v_ratings) s on s.uid = l.uid and s.mid = m.sim_mid
+    where l.rn = 1 and s.mid is null) where rk <= 20),
+j as (select c.uid, c.mid, cast(floor(m.score*1000000 + 0.5::double) as bigint)*cast(r.score*2 as bigint) x,
+             case when r.score > 3 then 1 else 0 end up
+      from cand c join o r on r.uid = c.uid and r.rn <= 20
+      join v_sims m on m.mid = c.mid and m.sim_mid = r.mid where m.score > 0.2::double)
+select uid, mid, floor(1000000*(cast(sum(x) as double)/2000000/count(*)
+       + log10(greatest(sum(up), 1)) - log10(greatest(sum(1-up), 1))) + 0.5::double)/1000000 score
+from j group by uid, mid"""
+
+ORACLES["stream_recs_batch"] = STREAM_RECS_SQL
+ORACLES["stream_recs"] = STREAM_RECS_SQL

@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from recspark.operators import content, similarity, stats, topk
+from recspark.operators import content, evaluate, rerank, similarity, splits, stats, topk
 from recspark.operators import tags as tagops
 from recspark.plans import views
 from recspark.plans.oracle import GENRE_TEST_LIST
@@ -105,3 +105,76 @@ def content_similar_items_hashed(spark, d):
     """V2, V4, V5 (Spark ML Tokenizer/HashingTF(50)/IDF), V3 - rows only."""
     return content.content_similar_items(views.movies(spark, d), floor=0.6, k=20,
                                          digits=6, hashed=True)
+
+
+# --- splits and evaluation ------------------------------------------------------
+
+@query("hash_split")
+def hash_split(spark, d):
+    """Repeatable 8:1:1 train/validation/test split by md5 of event_id."""
+    ev = views.stream_events(spark, d).select("event_id", "uid", "mid")
+    h, _ = splits.hash_unit(["event_id"])
+    out = splits.hash_split(ev, ["event_id"], [0.8, 0.1, 0.1],
+                            ["train", "validation", "test"])
+    return out.withColumn("bucket", (h % 10).cast("bigint"))
+
+
+@query("kfold_split")
+def kfold_split(spark, d):
+    """Five contiguous folds by position (event_id is the position)."""
+    ev = views.stream_events(spark, d).select("event_id", "uid", "mid")
+    return splits.kfold_assign(ev, "event_id", k=5)
+
+
+@query("leave_n_out_split")
+def leave_n_out_split(spark, d):
+    """Ratings 1..10 of each user (by position) are test, the rest base."""
+    ev = views.stream_events(spark, d).select("event_id", "uid", "mid")
+    return splits.leave_n_out(ev, "uid", "event_id", 1, 10)
+
+
+@query("leave_n_out_capped")
+def leave_n_out_capped(spark, d):
+    """W7 with the global cap: at most 1,000 test rows, first by position."""
+    ev = views.stream_events(spark, d).select("event_id", "uid", "mid")
+    return splits.leave_n_out(ev, "uid", "event_id", 11, 20, max_test=1000)
+
+
+@query("rmse_item_mean")
+def rmse_item_mean(spark, d):
+    """Item-mean predictor scored on all ratings."""
+    r = views.ratings(spark, d)
+    return evaluate.rmse_report(evaluate.item_mean_predictions(r, r), digits=6)
+
+
+@query("rmse_item_mean_split")
+def rmse_item_mean_split(spark, d):
+    """Item means from an 8:2 hash split; unseen test items count."""
+    r = splits.hash_split(views.ratings(spark, d), ["uid", "mid", "ts"], [0.8, 0.2],
+                          ["train", "test"])
+    train = r.where("split = 'train'")
+    test = r.where("split = 'test'")
+    return evaluate.rmse_report(evaluate.item_mean_predictions(train, test), digits=6)
+
+
+# --- re-ranking -------------------------------------------------------------------
+
+@query("recent_ratings")
+def recent_ratings(spark, d):
+    """The 20 latest rating events of every user."""
+    return rerank.recent_ratings(views.stream_events(spark, d), 20)
+
+
+@query("stream_candidates")
+def stream_candidates(spark, d):
+    """Per event, the 20 most similar items the user has not rated."""
+    ev = views.stream_events(spark, d)
+    return rerank.candidates(ev, _vector_sims(spark, d), views.ratings(spark, d), 20)
+
+
+@query("stream_recs_batch")
+def stream_recs_batch(spark, d):
+    """T3 as a batch plan: J8, F4, F6, A9, X6 with gate 0.2 on embedding sims."""
+    return rerank.recommend_from_events(views.stream_events(spark, d),
+                                        _vector_sims(spark, d), views.ratings(spark, d),
+                                        gate=0.2, digits=6)
