@@ -187,3 +187,13 @@ from j group by uid, mid"""
 
 ORACLES["stream_recs_batch"] = STREAM_RECS_SQL
 ORACLES["stream_recs"] = STREAM_RECS_SQL
+
+ORACLES["parse_movie_text"] = with_(V_MOVIES) + "select mid, name, genres from v_movies"
+ORACLES["parse_ratings_csv"] = with_(V_RATINGS) + "select uid, mid, score, ts from v_ratings"
+ORACLES["parse_tags_csv"] = with_(V_TAGS) + "select uid, mid, tag, ts from v_tags"
+ORACLES["parse_tab_ratings"] = with_(V_RATINGS) + "select uid, mid, score from v_ratings"
+ORACLES["parse_item_titles"] = with_(V_MOVIES) + "select mid, name from v_movies"
+ORACLES["parse_rating_messages"] = with_(V_STREAM) + "select uid, mid, score, ts from v_stream"
+ORACLES["sink_overwrite"] = ORACLES["item_popularity"]
+ORACLES["sink_keyed_docs"] = ORACLES["items_with_tags"]
+ORACLES["sink_upsert"] = STREAM_RECS_SQL

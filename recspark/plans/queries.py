@@ -9,6 +9,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from recspark import sources
+from recspark.session import scratch_path
 
 from recspark.operators import content, evaluate, rerank, similarity, splits, stats, topk
 from recspark.operators import tags as tagops
@@ -178,3 +183,143 @@ def stream_recs_batch(spark, d):
     return rerank.recommend_from_events(views.stream_events(spark, d),
                                         _vector_sims(spark, d), views.ratings(spark, d),
                                         gate=0.2, digits=6)
+
+
+# --- sources: text formats written from the views and parsed back ----------------
+
+def _round_trip_text(spark, name, lines_df):
+    path = scratch_path(spark, name)
+    lines_df.write.mode("overwrite").text(path)
+    return path
+
+
+def _s(c):
+    return F.coalesce(F.col(c).cast("string"), F.lit(""))
+
+
+@query("parse_movie_text")
+def parse_movie_text(spark, d):
+    """S1, X1, X2: '^'-separated movie lines with padded fields -> typed movies."""
+    m = views.movies(spark, d)
+    line = F.concat_ws("^", _s("mid"), F.concat(F.lit("  "), _s("name"), F.lit(" ")),
+                       F.lit(""), F.lit(""), F.lit(""), F.lit(""), F.lit(""),
+                       F.concat(F.lit(" "), _s("genres")), F.lit(""), F.lit(""))
+    path = _round_trip_text(spark, "movies-text", m.select(line.alias("value")))
+    good, _bad = sources.read_movies_text(spark, path)
+    return good.select("mid", "name", "genres")
+
+
+@query("parse_ratings_csv")
+def parse_ratings_csv(spark, d):
+    """S2: 'uid,mid,score,ts' lines -> typed ratings."""
+    r = views.ratings(spark, d)
+    line = F.concat_ws(",", _s("uid"), _s("mid"), _s("score"), _s("ts"))
+    path = _round_trip_text(spark, "ratings-csv", r.select(line.alias("value")))
+    return sources.read_ratings_csv(spark, path)[0]
+
+
+@query("parse_tags_csv")
+def parse_tags_csv(spark, d):
+    """S3: 'uid,mid,tag,ts' lines (tag padded) -> typed tags."""
+    t = views.tags(spark, d)
+    line = F.concat_ws(",", _s("uid"), _s("mid"), F.concat(F.lit(" "), _s("tag")), _s("ts"))
+    path = _round_trip_text(spark, "tags-csv", t.select(line.alias("value")))
+    return sources.read_tags_csv(spark, path)[0]
+
+
+@query("parse_tab_ratings")
+def parse_tab_ratings(spark, d):
+    """Tab-separated 'user item rating time' -> (uid, mid, score)."""
+    r = views.ratings(spark, d)
+    line = F.concat_ws("\t", _s("uid"), _s("mid"), _s("score"), _s("ts"))
+    path = _round_trip_text(spark, "ratings-tab", r.select(line.alias("value")))
+    return sources.read_tab_ratings(spark, path)[0]
+
+
+@query("parse_item_titles")
+def parse_item_titles(spark, d):
+    """S5: 'id|title|genres...' lines -> (mid, name); later fields ignored."""
+    m = views.movies(spark, d)
+    line = F.concat_ws("|", _s("mid"), _s("name"), _s("genres"))
+    path = _round_trip_text(spark, "item-titles", m.select(line.alias("value")))
+    return sources.read_item_titles(spark, path)[0]
+
+
+@query("parse_rating_messages")
+def parse_rating_messages(spark, d):
+    """S9, T2: 'UID|MID|SCORE|TIMESTAMP' message values -> typed ratings."""
+    ev = views.stream_events(spark, d)
+    msgs = ev.select(F.concat_ws("|", _s("uid"), _s("mid"), _s("score"), _s("ts"))
+                     .alias("value"))
+    return sources.parse_rating_messages(msgs)[0]
+
+
+# --- sinks -------------------------------------------------------------------------
+
+@query("sink_overwrite")
+def sink_overwrite(spark, d):
+    """Overwrite a table (twice), read it back by format + schema."""
+    r = views.ratings(spark, d)
+    path = scratch_path(spark, "overwrite")
+    sources.write_table(stats.item_average(r), path)
+    sources.write_table(stats.item_popularity(r), path)  # replaces the first table
+    return sources.read_table(spark, "parquet", path,
+                              schema=T.StructType([T.StructField("mid", T.IntegerType()),
+                                                   T.StructField("count", T.LongType())]))
+
+
+@query("sink_keyed_docs")
+def sink_keyed_docs(spark, d):
+    """K2: movies with tags as JSON documents keyed by mid, read back."""
+    docs = tagops.items_with_tags(views.movies(spark, d), views.tags(spark, d))
+    path = scratch_path(spark, "keyed-docs")
+    sources.write_keyed_docs(docs, "mid", path, "json")
+    schema = "mid int, name string, genres string, tags string"
+    return spark.read.schema(schema).json(path)
+
+
+@query("sink_upsert")
+def sink_upsert(spark, d):
+    """Per-user recommendation lists upserted in two batches.
+
+    Batch 0 holds every user's list from the first half of the events,
+    batch 1 the lists (from all events) of users active in the second half;
+    the latest row per user wins, so the result equals the batch query.
+    """
+    ev = views.stream_events(spark, d)
+    half = ev.agg(F.max("event_id")).first()[0] // 2
+    sims_path = scratch_path(spark, "sims")
+    sources.write_table(_vector_sims(spark, d), sims_path)
+    sims = spark.read.parquet(sims_path)
+    seen = views.ratings(spark, d)
+    path = scratch_path(spark, "upsert")
+    for b, part, users in ((0, ev.where(F.col("event_id") <= half), None),
+                           (1, ev, ev.where(F.col("event_id") > half))):
+        scores = rerank.recommend_from_events(part, sims, seen, gate=0.2, digits=6)
+        who = (users if users is not None else part).select("uid")
+        sources.upsert_log_write(rerank.nest_user_recs(who, scores), path, b)
+    latest = sources.upsert_log_read(spark, path, "uid")
+    return topk.explode_recs(latest, "uid", item_alias="mid", rank_col=None)
+
+
+@query("stream_recs")
+def stream_recs(spark, d):
+    """T1-T6 end to end: events replayed as 4 files, one micro-batch each,
+    through recent-K state, foreachBatch re-ranking and the upsert log."""
+    from recspark.streaming.recommender import StreamRecommender, file_rating_events
+    ev_path = scratch_path(spark, "events")
+    (views.stream_events(spark, d).repartitionByRange(4, "event_id")
+     .write.mode("overwrite").parquet(ev_path))
+    sims_path = scratch_path(spark, "sims")
+    sources.write_table(_vector_sims(spark, d), sims_path)
+    seen_path = scratch_path(spark, "seen")
+    sources.write_table(views.ratings(spark, d).select("uid", "mid"), seen_path)
+    rec = StreamRecommender(lambda: spark.read.parquet(sims_path),
+                            lambda: spark.read.parquet(seen_path),
+                            scratch_path(spark, "stream-recs"), gate=0.2, digits=6)
+    q = rec.start(file_rating_events(spark, ev_path, max_files_per_trigger=1),
+                  checkpoint=scratch_path(spark, "stream-ckpt"),
+                  trigger={"availableNow": True})
+    q.awaitTermination()
+    latest = rec.read_recs(spark)
+    return topk.explode_recs(latest, "uid", item_alias="mid", rank_col=None)
