@@ -15,10 +15,12 @@ from pyspark.sql import types as T
 from recspark import sources
 from recspark.session import scratch_path
 
-from recspark.operators import content, evaluate, rerank, similarity, splits, stats, topk
+from recspark.operators import (content, evaluate, factors, rerank, similarity, splits,
+                                stats, topk)
 from recspark.operators import tags as tagops
 from recspark.plans import views
 from recspark.plans.oracle import GENRE_TEST_LIST
+from recspark.schema import INTERACTIVE_ALS, OFFLINE_ALS
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -323,3 +325,76 @@ def stream_recs(spark, d):
     q.awaitTermination()
     latest = rec.read_recs(spark)
     return topk.explode_recs(latest, "uid", item_alias="mid", rank_col=None)
+
+
+# --- factor models (rows-only checks) -------------------------------------------
+
+_MODELS: dict = {}
+
+
+def _model(spark, d, rank, max_iter, reg_param):
+    """One fitted model per (session, data, setting) within this process."""
+    key = (id(spark), d, rank, max_iter, reg_param)
+    if key not in _MODELS:
+        _MODELS[key] = factors.fit_als(views.ratings(spark, d), rank, max_iter, reg_param)
+    return _MODELS[key]
+
+
+def _offline(spark, d):
+    return _model(spark, d, OFFLINE_ALS["rank"], OFFLINE_ALS["max_iter"],
+                  OFFLINE_ALS["reg_param"])
+
+
+def _interactive(spark, d):
+    return _model(spark, d, INTERACTIVE_ALS["rank"], INTERACTIVE_ALS["max_iter"],
+                  INTERACTIVE_ALS["reg_param"])
+
+
+@query("als_user_recs")
+def als_user_recs(spark, d):
+    """Rank 200 / 5 iterations / 0.1, top 20 items per user."""
+    return factors.user_recs(_offline(spark, d), 20)
+
+
+@query("als_item_similar")
+def als_item_similar(spark, d):
+    """Items with factor cosine > 0.6, best 20 each."""
+    return factors.item_similar(_offline(spark, d), floor=0.6, k=20)
+
+
+@query("als_recs_for_users")
+def als_recs_for_users(spark, d):
+    """Top 10 items with titles for every user with a rating event."""
+    users = views.stream_events(spark, d).select("uid")
+    return factors.recs_for_users(_interactive(spark, d), users, views.movies(spark, d))
+
+
+@query("als_recs_for_items")
+def als_recs_for_items(spark, d):
+    """Top 10 users for every tagged item, with the item title."""
+    items = views.tags(spark, d).select("mid")
+    return factors.recs_for_items(_interactive(spark, d), items, views.movies(spark, d))
+
+
+def _three_way(spark, d):
+    r = splits.hash_split(views.ratings(spark, d), ["uid", "mid", "ts"], [0.8, 0.1, 0.1],
+                          ["train", "validation", "test"])
+    return (r.where("split = 'train'"), r.where("split = 'validation'"),
+            r.where("split = 'test'"))
+
+
+@query("als_param_sweep")
+def als_param_sweep(spark, d):
+    """One-parameter sweeps on an 8:1:1 split (short value lists)."""
+    train, valid, _ = _three_way(spark, d)
+    return evaluate.param_sweep(train, valid, ranks=[5, 10], iterations=[5, 10],
+                                lambdas=[0.1, 1.0], fixed=dict(rank=10, max_iter=5,
+                                                                reg_param=0.1))
+
+
+@query("als_grid_best")
+def als_grid_best(spark, d):
+    """2x2x2 grid, refit the best, RMSE on the test part."""
+    train, valid, test = _three_way(spark, d)
+    return evaluate.train_validate_test(train, valid, test, ranks=[5, 10],
+                                        iterations=[5, 10], lambdas=[0.1, 1.0])
