@@ -1,0 +1,18 @@
+import os
+import sys
+
+import pytest
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+sys.path.insert(0, ROOT)
+
+SF_SMALL = "/root/testdata/sf0.001"
+SF_MID = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="session")
+def spark():
+    from recspark.session import local_session
+    s = local_session("*", shuffle_partitions=8, app="recspark-tests")
+    yield s
+    s.stop()

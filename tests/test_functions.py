@@ -1,0 +1,46 @@
+import math
+
+from pyspark.sql import functions as F
+
+from recspark.functions import (cosine, log10_count, round_half_up, safe_int, yearmonth)
+
+
+def test_yearmonth_utc_fixed_value(spark):
+    df = spark.createDataFrame([(1260759144,), (0,), (1577836799,)], "ts int")
+    got = [r[0] for r in df.select(yearmonth("ts")).collect()]
+    assert got == [200912, 197001, 201912]
+
+
+def test_yearmonth_ignores_session_zone(spark):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        df = spark.createDataFrame([(1577836799,)], "ts int")
+        assert df.select(yearmonth("ts")).first()[0] == 201912
+        assert df.select(yearmonth("ts", "America/New_York")).first()[0] == 201912
+        df2 = spark.createDataFrame([(1577840400,)], "ts int")  # 2020-01-01 01:00 UTC
+        assert df2.select(yearmonth("ts")).first()[0] == 202001
+        assert df2.select(yearmonth("ts", "America/New_York")).first()[0] == 201912
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_round_half_up_and_log10(spark):
+    df = spark.createDataFrame([(0.1234565, 0), (2.0000005, 1), (-0.0000005, 10)], "x double, n int")
+    r = df.select(round_half_up("x", 6).alias("r"), log10_count("n").alias("l")).collect()
+    assert [round(v.r, 6) for v in r] == [0.123457, 2.000001, -0.0]
+    assert r[0].l == 0.0 and r[1].l == 0.0 and math.isclose(r[2].l, 1.0)
+
+
+def test_cosine_zero_vector_is_null(spark):
+    df = spark.createDataFrame([([1.0, 0.0], [0.0, 0.0]), ([1.0, 1.0], [2.0, 2.0]),
+                                ([1.0, 0.0], [-1.0, 0.0])], "a array<double>, b array<double>")
+    got = [r[0] for r in df.select(cosine("a", "b")).collect()]
+    assert got[0] is None
+    assert math.isclose(got[1], 1.0) and math.isclose(got[2], -1.0)
+
+
+def test_safe_int_never_raises(spark):
+    df = spark.createDataFrame([(" 12 ",), ("x",), ("",), (None,)], "s string")
+    assert [r[0] for r in df.select(safe_int("s")).collect()] == [12, None, None, None]
+    assert df.select(F.count("s")).first()[0] == 3
