@@ -197,3 +197,8 @@ ORACLES["parse_rating_messages"] = with_(V_STREAM) + "select uid, mid, score, ts
 ORACLES["sink_overwrite"] = ORACLES["item_popularity"]
 ORACLES["sink_keyed_docs"] = ORACLES["items_with_tags"]
 ORACLES["sink_upsert"] = STREAM_RECS_SQL
+
+ORACLES["parse_recent_lists"] = with_(V_STREAM) + """
+select uid, rn, mid, score from (
+  select *, row_number() over (partition by uid order by ts desc, event_id desc) rn
+  from v_stream) where rn <= 20"""

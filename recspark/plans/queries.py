@@ -98,7 +98,10 @@ def vector_similar_items(spark, d):
 def similarity_long_form(spark, d):
     """A5 nest to (mid, recs) then S10 explode back to (mid, sim_mid, score, rk)."""
     nested = topk.nest_recs(_vector_sims(spark, d), "mid", item_col="sim_mid")
-    return topk.explode_recs(nested, "mid").select("mid", "sim_mid", "score", "rk")
+    long = topk.explode_recs(nested, "mid")
+    # A repeated (mid, sim_mid) keeps one entry, the best-ranked one.
+    long = topk.dedupe_last_wins(long, ["mid", "sim_mid"], [F.asc("rk")])
+    return long.select("mid", "sim_mid", "score", "rk")
 
 
 @query("content_similar_items")
@@ -256,6 +259,24 @@ def parse_rating_messages(spark, d):
     return sources.parse_rating_messages(msgs)[0]
 
 
+@query("parse_recent_lists")
+def parse_recent_lists(spark, d):
+    """S8 (encoded), X8: per-user lists 'uid:<uid>' -> ['MID:SCORE', ...] built
+    from the events, newest first, then read back: the first 20 entries.
+
+    The lists are written trimmed to 40 entries, as a list store keeps them,
+    so no user's whole history is gathered into one row.
+    """
+    ev = views.stream_events(spark, d)
+    ranked = topk.top_k_per_key(ev, "uid", rerank.event_order(), 40, "rn")
+    lists = (ranked.groupBy("uid")
+             .agg(F.array_sort(F.collect_list(F.struct("rn", sources.encode_recent_item())))
+                  .alias("_l"))
+             .select(sources.recent_list_key(F.col("uid").cast("string")).alias("key"),
+                     F.col("_l.col2").alias("items")))
+    return sources.parse_recent_lists(lists, k=20)[0]
+
+
 # --- sinks -------------------------------------------------------------------------
 
 @query("sink_overwrite")
