@@ -202,3 +202,14 @@ ORACLES["parse_recent_lists"] = with_(V_STREAM) + """
 select uid, rn, mid, score from (
   select *, row_number() over (partition by uid order by ts desc, event_id desc) rn
   from v_stream) where rn <= 20"""
+
+ORACLES["seen_filter"] = with_(V_STREAM, V_RATINGS) + """
+select event_id, uid, mid from v_stream l
+where not exists (select 1 from v_ratings r where r.uid = l.uid and r.mid = l.mid)"""
+
+ORACLES["split_summary"] = with_(V_RATINGS) + """
+select split, count(*) n_ratings, count(distinct uid) n_users, count(distinct mid) n_items
+from (select *, case when h < 0.8 then 'train' when h < 0.9 then 'validation' else 'test' end split
+      from (select *, cast('0x'||substr(md5(concat_ws('|', cast(uid as varchar), cast(mid as varchar),
+                 cast(ts as varchar))),1,7) as bigint) / 268435456.0 h from v_ratings))
+group by split"""

@@ -150,6 +150,16 @@ def leave_n_out_capped(spark, d):
     return splits.leave_n_out(ev, "uid", "event_id", 11, 20, max_test=1000)
 
 
+@query("split_summary")
+def split_summary(spark, d):
+    """A7 + U1: ratings, users and items per part of an 8:1:1 hash split."""
+    r = splits.hash_split(views.ratings(spark, d), ["uid", "mid", "ts"], [0.8, 0.1, 0.1],
+                          ["train", "validation", "test"])
+    return (r.groupBy("split")
+            .agg(F.count(F.lit(1)).alias("n_ratings"), F.countDistinct("uid").alias("n_users"),
+                 F.countDistinct("mid").alias("n_items")))
+
+
 @query("rmse_item_mean")
 def rmse_item_mean(spark, d):
     """Item-mean predictor scored on all ratings."""
@@ -182,6 +192,13 @@ def stream_candidates(spark, d):
     return rerank.candidates(ev, _vector_sims(spark, d), views.ratings(spark, d), 20)
 
 
+@query("seen_filter")
+def seen_filter(spark, d):
+    """Rating events for items the user had not rated before."""
+    ev = views.stream_events(spark, d).select("event_id", "uid", "mid")
+    return ev.join(views.ratings(spark, d).select("uid", "mid"), ["uid", "mid"], "left_anti")
+
+
 @query("stream_recs_batch")
 def stream_recs_batch(spark, d):
     """T3 as a batch plan: J8, F4, F6, A9, X6 with gate 0.2 on embedding sims."""

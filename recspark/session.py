@@ -38,6 +38,37 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
+def cluster_conf(executors: int, cores_per_executor: int,
+                 input_bytes: float | None = None) -> dict[str, str]:
+    """Settings this library is designed around on a large cluster.
+
+    AQE re-plans every shuffle at run time: it coalesces small partitions,
+    splits skewed join partitions and turns joins with a small side into
+    broadcasts from measured sizes.  The initial shuffle width is set high
+    (about 3 tasks per core, more for very large inputs at ~256 MB per task)
+    and AQE shrinks it; scans split files at 256 MB.
+    """
+    cores = executors * cores_per_executor
+    width = 3 * cores
+    if input_bytes:
+        width = max(width, int(input_bytes // (256 << 20)))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 << 20),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.shuffle.partitions": str(width),
+        "spark.sql.files.maxPartitionBytes": str(256 << 20),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.execution.arrow.pyspark.enabled": "true",
+        "spark.sql.execution.arrow.maxRecordsPerBatch": "10000",
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    }
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints; the cluster's ``spark.checkpoint.dir``.
 
