@@ -17,6 +17,7 @@ from recspark.functions import genre_text
 from recspark.operators.similarity import similar_items
 from recspark.operators.topk import top_k_per_key
 from recspark.schema import HASHING_TF_FEATURES, ITEM_SIM_FLOOR
+from recspark.session import checkpoint_root
 
 
 def _groups(movies: DataFrame) -> DataFrame:
@@ -93,8 +94,13 @@ def expand_group_similarity(group_sims: DataFrame, members: DataFrame,
 
 def _group_sims(vectors: DataFrame, floor: float, k: int | None, digits, sparse: bool):
     # Group ids: a stable 64-bit hash of the genre string, so the blocked
-    # operator can work on integer ids; collisions are checked below.
-    keyed = vectors.withColumn("gid", F.xxhash64("gkey"))
+    # operator can work on integer ids (``check_group_ids_unique`` tests for
+    # collisions).  The per-group vectors are read several times (block
+    # count, pair scoring, id -> name), so they are materialised once with a
+    # reliable checkpoint in the shared checkpoint folder, which also cuts
+    # the lineage of the TF-IDF pipeline.
+    checkpoint_root(vectors.sparkSession)
+    keyed = vectors.withColumn("gid", F.xxhash64("gkey")).checkpoint(eager=True)
     kw = dict(id_col="gid", floor=floor, digits=digits, include_self=True,
               out_cols=("ga_id", "gb_id", "score"), rank_col=None)
     if k is not None:
