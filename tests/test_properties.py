@@ -1,0 +1,93 @@
+"""Property tests (hypothesis): operators against straight Python versions."""
+
+import math
+
+import numpy as np
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from recspark.operators import rerank, splits
+from recspark.operators.similarity import similar_items
+from recspark.operators.topk import top_k_per_key
+
+SETTINGS = dict(max_examples=8, deadline=None,
+                suppress_health_check=[HealthCheck.function_scoped_fixture])
+
+
+@settings(**SETTINGS)
+@given(st.lists(st.tuples(st.integers(0, 3), st.integers(0, 50), st.integers(0, 5)),
+                min_size=1, max_size=60, unique_by=lambda t: (t[0], t[1])),
+       st.integers(1, 6))
+def test_top_k_is_prefix_of_full_order(spark, rows, k):
+    from pyspark.sql import functions as F
+    df = spark.createDataFrame(rows, "key int, id int, v int")
+    got = top_k_per_key(df, "key", [F.desc("v"), F.asc("id")], k).collect()
+    want = {}
+    for key, i, v in sorted(rows, key=lambda r: (r[0], -r[2], r[1])):
+        want.setdefault(key, []).append(i)
+    assert sorted((r.key, r.rk, r.id) for r in got) == sorted(
+        (key, n + 1, i) for key, ids in want.items() for n, i in enumerate(ids[:k]))
+
+
+@settings(**SETTINGS)
+@given(st.integers(2, 40), st.integers(1, 6), st.integers(0, 10 ** 6),
+       st.sampled_from([3, 16, 1024]))
+def test_blocked_cosine_equals_loop(spark, n, dim, seed, block):
+    rng = np.random.default_rng(seed)
+    vecs = rng.integers(-3, 4, size=(n, dim)).astype(float)
+    df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(vecs)],
+                               "mid int, features array<double>")
+    got = sorted((r.mid, r.sim_mid, r.score) for r in
+                 similar_items(df, floor=0.1, k=4, digits=6, block_size=block).collect())
+    norms = np.linalg.norm(vecs, axis=1)
+    want = []
+    for i in range(n):
+        if norms[i] == 0:
+            continue
+        c = []
+        for j in range(n):
+            if i != j and norms[j] > 0:
+                s = math.floor(float(vecs[i] @ vecs[j]) / (norms[i] * norms[j]) * 1e6 + 0.5) / 1e6
+                if s > 0.1:
+                    c.append((-s, j))
+        want += [(i, j, -s) for s, j in sorted(c)[:4]]
+    assert got == sorted(want)
+
+
+@settings(**SETTINGS)
+@given(st.integers(1, 300), st.integers(1, 7))
+def test_folds_disjoint_and_cover(spark, n, k):
+    df = spark.range(n).withColumnRenamed("id", "pos")
+    folds = [r.fold for r in splits.kfold_assign(df, "pos", k=k).orderBy("pos").collect()]
+    size = math.ceil(n / k)
+    assert folds == [p // size for p in range(n)]
+    assert max(folds) < k
+
+
+@settings(**SETTINGS)
+@given(st.lists(st.tuples(st.integers(1, 4), st.integers(1, 6),
+                          st.sampled_from([0.5, 1.0, 2.5, 3.0, 3.5, 4.0, 5.0])),
+                min_size=1, max_size=25),
+       st.dictionaries(st.tuples(st.integers(1, 6), st.integers(1, 6)),
+                       st.sampled_from([0.65, 0.7, 0.71, 0.8, 0.9, 1.0]), max_size=30))
+def test_rerank_score_equals_loop(spark, recent, sims):
+    sim_rows = [(a, b, s) for (a, b), s in sims.items()]
+    sim_df = spark.createDataFrame(sim_rows or [(0, 0, 0.0)], "mid int, sim_mid int, score double")
+    rec = spark.createDataFrame(recent, "uid int, mid int, score double")
+    cands = sorted({(u, c) for u, _, _ in recent for c in range(1, 7)})
+    cand = spark.createDataFrame(cands, "uid int, mid int")
+    got = {(r.uid, r.mid): r.score
+           for r in rerank.score_candidates(cand, rec, sim_df, digits=6).collect()}
+    want = {}
+    for u, c in cands:
+        hits = [(sims.get((c, m), 0.0), r) for uu, m, r in recent if uu == u]
+        hits = [(s, r) for s, r in hits if s > 0.7]
+        if not hits:
+            continue
+        up = sum(1 for _, r in hits if r > 3)
+        mean = sum(s * r for s, r in hits) / len(hits)
+        val = mean + math.log10(max(up, 1)) - math.log10(max(len(hits) - up, 1))
+        want[(u, c)] = val
+    assert set(got) == set(want)
+    for key, v in want.items():
+        assert abs(got[key] - v) <= 1e-6
