@@ -213,3 +213,6 @@ from (select *, case when h < 0.8 then 'train' when h < 0.9 then 'validation' el
       from (select *, cast('0x'||substr(md5(concat_ws('|', cast(uid as varchar), cast(mid as varchar),
                  cast(ts as varchar))),1,7) as bigint) / 268435456.0 h from v_ratings))
 group by split"""
+
+ORACLES["content_similar_items_all"] = ORACLES["content_similar_items"].replace(
+    "select mid, sim_mid, score, rk from r where rk <= 20", "select mid, sim_mid, score, rk from r")

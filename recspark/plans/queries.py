@@ -110,6 +110,12 @@ def content_similar_items(spark, d):
     return content.content_similar_items(views.movies(spark, d), floor=0.6, k=20, digits=6)
 
 
+@query("content_similar_items_all")
+def content_similar_items_all(spark, d):
+    """Every item above the 0.6 floor, ranked, no cut (the original list)."""
+    return content.content_similar_items(views.movies(spark, d), floor=0.6, k=None, digits=6)
+
+
 @query("content_similar_items_hashed")
 def content_similar_items_hashed(spark, d):
     """V2, V4, V5 (Spark ML Tokenizer/HashingTF(50)/IDF), V3 - rows only."""
