@@ -23,7 +23,8 @@ def top_k_per_key(df: DataFrame, keys, order: Sequence[Column], k: int | None,
                   rank_col: str = "rk") -> DataFrame:
     """Rank rows within each key by ``order``; keep ranks <= k (all if None)."""
     w = Window.partitionBy(*_cols(keys)).orderBy(*order)
-    out = df.withColumn(rank_col, F.row_number().over(w))
+    # Ranks are BIGINT: an uncut (k=None) group may exceed the INT range.
+    out = df.withColumn(rank_col, F.row_number().over(w).cast("long"))
     if k is not None:
         out = out.filter(F.col(rank_col) <= k)
     return out
@@ -50,7 +51,7 @@ def explode_recs(df: DataFrame, key: str, recs_col: str = "recs",
     out = df.select(key, F.posexplode(recs_col).alias("_pos", "_r"))
     cols = [F.col(key)]
     if rank_col:
-        cols.append((F.col("_pos") + 1).alias(rank_col))
+        cols.append((F.col("_pos").cast("long") + 1).alias(rank_col))
     cols += [F.col("_r.mid").alias(item_alias), F.col("_r.score").alias("score")]
     return out.select(*cols)
 
