@@ -1,0 +1,66 @@
+"""A user and an item holding a third of all rows: results stay exact and the
+plans keep their partial (pre-shuffle) limits and aggregates."""
+
+import contextlib
+import io
+
+import numpy as np
+import pandas as pd
+import pytest
+from pyspark.sql import functions as F
+
+from recspark.operators import rerank, splits, stats, tags
+
+
+@pytest.fixture(scope="module")
+def skewed(spark):
+    rng = np.random.default_rng(1)
+    n = 6000
+    uid = np.where(np.arange(n) % 3 == 0, 1, rng.integers(2, 300, n))
+    mid = np.where(np.arange(n) % 3 == 0, 7, rng.integers(1, 500, n))
+    pdf = pd.DataFrame({"event_id": np.arange(n, dtype="int64"), "uid": uid.astype("int32"),
+                        "mid": mid.astype("int32"),
+                        "score": rng.integers(1, 11, n) / 2.0,
+                        "ts": (1_000_000 + np.arange(n) // 2).astype("int32")})
+    return pdf, spark.createDataFrame(pdf).repartition(8)
+
+
+def _plan(df):
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain()
+    return buf.getvalue()
+
+
+def test_hot_keys_counts_and_tags(skewed):
+    pdf, df = skewed
+    got = {r.mid: r["count"] for r in stats.item_popularity(df).collect()}
+    assert got == pdf.groupby("mid").size().to_dict()
+    t = df.withColumn("tag", F.concat(F.lit("t"), (F.col("event_id") % 5).cast("string")))
+    per = {r.mid: r.tags for r in tags.tags_per_item(t).collect()}
+    assert per[7] == "t0|t1|t2|t3|t4"
+    assert "partial_count" in _plan(stats.item_popularity(df))
+
+
+def test_hot_user_recent_and_split(skewed):
+    pdf, df = skewed
+    rec = rerank.recent_ratings(df, 20)
+    assert "WindowGroupLimit" in _plan(rec) and "Partial" in _plan(rec)
+    hot = [r.event_id for r in rec.where("uid = 1").orderBy("rn").collect()]
+    want = pdf[pdf.uid == 1].sort_values(["ts", "event_id"], ascending=False).event_id[:20]
+    assert hot == list(want)
+    out = splits.leave_n_out(df, "uid", "event_id", 1, 10)
+    assert "Partial" in _plan(out)
+    test = sorted(r.event_id for r in out.where("split = 'test'").collect())
+    want = sorted(pdf.sort_values("event_id").groupby("uid").head(10).event_id)
+    assert test == want and out.count() == len(pdf)
+
+
+def test_hot_item_candidates(skewed, spark):
+    _, df = skewed
+    sims = spark.createDataFrame([(7, j, 1.0 - j / 100) for j in range(8, 40)],
+                                 "mid int, sim_mid int, score double")
+    ev = df.where("mid = 7").select("event_id", "uid", "mid")
+    cand = rerank.candidates(ev, sims, df.select("uid", "mid"), 5)
+    counts = cand.groupBy("event_id").count().agg(F.max("count")).first()[0]
+    assert counts == 5
