@@ -359,7 +359,7 @@ def stream_recs(spark, d):
     sims_path = scratch_path(spark, "sims")
     sources.write_table(_vector_sims(spark, d), sims_path)
     seen_path = scratch_path(spark, "seen")
-    sources.write_table(views.ratings(spark, d).select("uid", "mid"), seen_path)
+    sources.write_clustered(views.ratings(spark, d).select("uid", "mid"), seen_path, "uid")
     rec = StreamRecommender(lambda: spark.read.parquet(sims_path),
                             lambda: spark.read.parquet(seen_path),
                             scratch_path(spark, "stream-recs"), gate=0.2, digits=6)
