@@ -357,7 +357,7 @@ def stream_recs(spark, d):
     (views.stream_events(spark, d).repartitionByRange(4, "event_id")
      .write.mode("overwrite").parquet(ev_path))
     sims_path = scratch_path(spark, "sims")
-    sources.write_table(_vector_sims(spark, d), sims_path)
+    sources.write_clustered(_vector_sims(spark, d), sims_path, "mid")
     seen_path = scratch_path(spark, "seen")
     sources.write_clustered(views.ratings(spark, d).select("uid", "mid"), seen_path, "uid")
     rec = StreamRecommender(lambda: spark.read.parquet(sims_path),
