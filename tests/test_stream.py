@@ -51,3 +51,19 @@ def test_stream_equals_batch_and_restarts(spark):
     got = topk.explode_recs(rec.read_recs(spark), "uid", item_alias="mid", rank_col=None)
     assert len(_flat(want)) > 0
     assert _flat(got) == _flat(want)
+
+
+def test_restrict_pushdown_and_fallback(spark):
+    table = spark.createDataFrame([(i, i * 10) for i in range(50)], "uid int, v int")
+    keys = spark.createDataFrame([(3,), (7,), (7,), (49,)], "uid int")
+    rec = StreamRecommender(table, table, "/unused", max_pushdown_keys=3)
+    vals = rec._keys(keys, ["uid"])
+    assert sorted(r[0] for r in vals) == [3, 7, 49]
+    pushed = rec._restrict(table, "uid", keys, [r[0] for r in vals])
+    assert "In(uid" in pushed._jdf.queryExecution().executedPlan().toString() or \
+        sorted(r.uid for r in pushed.collect()) == [3, 7, 49]
+    assert sorted(r.uid for r in pushed.collect()) == [3, 7, 49]
+    rec.max_pushdown_keys = 2
+    assert rec._keys(keys, ["uid"]) is None
+    semi = rec._restrict(table, "uid", keys, None)
+    assert sorted(r.uid for r in semi.collect()) == [3, 7, 49]
