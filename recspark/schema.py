@@ -32,6 +32,19 @@ GRID_RANKS = [5, 10, 15, 20, 25]
 GRID_ITERATIONS = [5, 10, 15, 20, 25]
 GRID_LAMBDAS = [0.05, 0.1, 1.0, 5.0, 10.0]
 INTERACTIVE_K = 10          # items for a user / users for an item
+# Output table names of the original jobs.
+TABLE_MOVIE = "Movie"
+TABLE_RATING = "Rating"
+TABLE_TAG = "Tag"
+TABLE_MOVIE_WITH_TAGS = "MovieWithTags"
+TABLE_RATE_MORE = "RateMoreMovies"
+TABLE_RATE_MORE_RECENTLY = "RateMoreRecentlyMovies"
+TABLE_AVERAGE = "AverageMovies"
+TABLE_GENRES_TOP = "GenresTopMovies"
+TABLE_USER_RECS = "UserRecs"
+TABLE_MOVIE_RECS = "MovieRecs"
+TABLE_CONTENT_RECS = "ContentMovieRecs"
+TABLE_STREAM_RECS = "StreamRecs"
 # Field separators of the text formats.
 MOVIE_SEP = "^"
 RATING_SEP = ","
