@@ -8,4 +8,5 @@ from recspark.sources.text import (  # noqa: F401
 )
 from recspark.sources.sinks import (  # noqa: F401
     write_table, write_clustered, write_keyed_docs, upsert_log_write, upsert_log_read,
+    upsert_log_compact,
 )

@@ -71,3 +71,17 @@ def test_recent_lists_encoded(spark):
     row = df.select(sources.recent_list_key(F.col("uid").cast("string")).alias("k"),
                     sources.encode_recent_item().alias("v")).first()
     assert (row.k, row.v) == ("uid:7", "5:4.5")
+
+
+def test_upsert_log_compaction(spark):
+    path = tempfile.mkdtemp(prefix="recspark-compact-") + "/log"
+    mk = lambda rows: spark.createDataFrame(rows, "uid int, v string")
+    sources.upsert_log_write(mk([(1, "a"), (2, "b")]), path, 0)
+    sources.upsert_log_write(mk([(2, "c")]), path, 1)
+    assert sources.upsert_log_compact(spark, path, "uid") == 1
+    sources.upsert_log_write(mk([(1, "d"), (3, "e")]), path, 2)
+    got = {r.uid: r.v for r in sources.upsert_log_read(spark, path, "uid").collect()}
+    assert got == {1: "d", 2: "c", 3: "e"}
+    assert sources.upsert_log_compact(spark, path, "uid") == 2
+    got = {r.uid: r.v for r in sources.upsert_log_read(spark, path, "uid").collect()}
+    assert got == {1: "d", 2: "c", 3: "e"}

@@ -36,6 +36,7 @@ def test_stream_equals_batch_and_restarts(spark):
         return q
 
     run()
+    rec.compact(spark)  # later reads: snapshot + newer log partitions
     first = ev.where(F.col("event_id") <= half)
     want1 = rerank.recommend_from_events(first, spark.read.parquet(f"{root}/sims"),
                                          spark.read.parquet(f"{root}/seen"), gate=0.2, digits=6)
