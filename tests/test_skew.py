@@ -64,3 +64,55 @@ def test_hot_item_candidates(skewed, spark):
     cand = rerank.candidates(ev, sims, df.select("uid", "mid"), 5)
     counts = cand.groupBy("event_id").count().agg(F.max("count")).first()[0]
     assert counts == 5
+
+
+def test_content_expansion_exact_under_hot_group(spark):
+    """A third of the items share one genre string (massive ties): the
+    k+1-per-group expansion must equal a brute-force TF-IDF cosine top-k."""
+    import math
+    import random
+
+    from recspark.operators.content import content_similar_items
+
+    rnd = random.Random(5)
+    vocab = ["Action", "Drama", "War", "Comedy", "Crime", "Family"]
+    rows = []
+    for mid in range(1, 91):
+        if mid % 3 == 0:
+            g = "Action|Drama|War"
+        else:
+            g = "|".join(rnd.sample(vocab, rnd.randint(1, 3)))
+        rows.append((mid, f"m{mid}", g))
+    movies = spark.createDataFrame(rows, "mid int, name string, genres string")
+    k = 5
+    got = sorted((r.mid, r.sim_mid, r.score, r.rk) for r in
+                 content_similar_items(movies, floor=0.2, k=k, digits=6).collect())
+
+    docs = {mid: g.lower().split("|") for mid, _, g in rows}
+    m = len(docs)
+    df = {}
+    for toks in docs.values():
+        for t in set(toks):
+            df[t] = df.get(t, 0) + 1
+    vec = {}
+    for mid, toks in docs.items():
+        v = {}
+        for t in toks:
+            v[t] = v.get(t, 0.0) + math.log((m + 1.0) / (df[t] + 1.0))
+        vec[mid] = v
+    norm = {mid: math.sqrt(sum(x * x for x in v.values())) for mid, v in vec.items()}
+    want = []
+    for a in docs:
+        if norm[a] == 0:
+            continue
+        cand = []
+        for b in docs:
+            if a == b or norm[b] == 0:
+                continue
+            dot = sum(w * vec[b].get(t, 0.0) for t, w in vec[a].items())
+            s = math.floor(dot / (norm[a] * norm[b]) * 1e6 + 0.5) / 1e6
+            if s > 0.2:
+                cand.append((-s, b))
+        cand.sort()
+        want += [(a, b, -s, i + 1) for i, (s, b) in enumerate(cand[:k])]
+    assert got == sorted(want)
