@@ -91,3 +91,26 @@ def test_rerank_score_equals_loop(spark, recent, sims):
     assert set(got) == set(want)
     for key, v in want.items():
         assert abs(got[key] - v) <= 1e-6
+
+
+@settings(**SETTINGS)
+@given(st.lists(st.integers(1, 6), min_size=1, max_size=80), st.integers(1, 4),
+       st.integers(0, 4), st.integers(0, 12))
+def test_leave_n_out_equals_sequential_loop(spark, users, start, extra, max_test):
+    """The split read as a sequential pass over the file: a per-user counter,
+    test when the counter is in [start, stop] and fewer than max_test test
+    rows were taken so far (max_test <= 0: no cap)."""
+    stop = start + extra
+    rows = [(pos, u) for pos, u in enumerate(users)]
+    df = spark.createDataFrame(rows, "pos long, uid int")
+    got = {r.pos: r.split for r in
+           splits.leave_n_out(df, "uid", "pos", start, stop, max_test).collect()}
+    seen, taken, want = {}, 0, {}
+    for pos, u in rows:
+        seen[u] = seen.get(u, 0) + 1
+        if (taken < max_test or max_test <= 0) and start <= seen[u] <= stop:
+            taken += 1
+            want[pos] = "test"
+        else:
+            want[pos] = "base"
+    assert got == want
