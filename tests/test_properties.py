@@ -114,3 +114,27 @@ def test_leave_n_out_equals_sequential_loop(spark, users, start, extra, max_test
         else:
             want[pos] = "base"
     assert got == want
+
+
+@settings(**SETTINGS)
+@given(st.lists(st.integers(-(2 ** 62), 2 ** 62), min_size=1, max_size=200, unique=True),
+       st.data())
+def test_kth_position_equals_sort(spark, values, data):
+    k = data.draw(st.integers(1, len(values)))
+    df = spark.createDataFrame([(v,) for v in values], "pos long")
+    assert splits.kth_position(df, "pos", k, buckets=16) == sorted(values)[k - 1]
+
+
+@settings(**SETTINGS)
+@given(st.lists(st.tuples(st.integers(1, 5), st.integers(1, 30),
+                          st.floats(0, 1, allow_nan=False)),
+                min_size=1, max_size=60, unique_by=lambda t: (t[0], t[1])))
+def test_nest_explode_round_trip(spark, rows):
+    from pyspark.sql import functions as F
+
+    from recspark.operators import topk
+    df = spark.createDataFrame(rows, "mid int, sim_mid int, score double")
+    ranked = topk.top_k_per_key(df, "mid", [F.desc("score"), F.asc("sim_mid")], 4)
+    back = topk.explode_recs(topk.nest_recs(ranked, "mid", item_col="sim_mid"), "mid")
+    assert sorted(tuple(r) for r in back.collect()) == sorted(
+        (r.mid, r.rk, r.sim_mid, r.score) for r in ranked.collect())
