@@ -63,10 +63,12 @@ def test_upsert_log_latest_wins_and_replay(spark):
 def test_recent_lists_encoded(spark):
     from pyspark.sql import functions as F
     lists = spark.createDataFrame([("uid:7", ["5:4.5", " 6 : 3.0 ", "x:1", "8:2.0"]),
-                                   ("uid:9", [])], "key string, items array<string>")
+                                   ("uid:9", []), ("nokey", ["1:2.0"])],
+                                  "key string, items array<string>")
     good, bad = sources.parse_recent_lists(lists, k=3)
     assert [tuple(r) for r in good.orderBy("rn").collect()] == [(7, 1, 5, 4.5), (7, 2, 6, 3.0)]
-    assert [r.line for r in bad.collect()] == ["x:1"]
+    assert sorted((r.line, r.reason) for r in bad.collect()) == [
+        ("1:2.0", "bad key"), ("x:1", "bad number")]
     df = spark.createDataFrame([(7, 5, 4.5)], "uid int, mid int, score double")
     row = df.select(sources.recent_list_key(F.col("uid").cast("string")).alias("k"),
                     sources.encode_recent_item().alias("v")).first()

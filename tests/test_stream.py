@@ -68,3 +68,23 @@ def test_restrict_pushdown_and_fallback(spark):
     assert rec._keys(keys, ["uid"]) is None
     semi = rec._restrict(table, "uid", keys, None)
     assert sorted(r.uid for r in semi.collect()) == [3, 7, 49]
+
+
+def test_text_messages_and_quarantine_stream(spark):
+    from recspark.streaming.recommender import text_rating_events
+    root = tempfile.mkdtemp(prefix="recspark-msg-")
+    with open(f"{root}/m1.txt", "w") as f:
+        f.write("1|10|4.5|100|0\n2|11|3.0|101|1\nbad line\n3|x|1.0|102|2\n4|12|2.0|103\n")
+    good, bad = text_rating_events(spark, root + "/")
+    q1 = (good.writeStream.format("parquet").option("path", f"{root}/out/good")
+          .option("checkpointLocation", f"{root}/ck/good").trigger(availableNow=True).start())
+    q2 = StreamRecommender.start_quarantine(bad, f"{root}/out/bad", f"{root}/ck/bad",
+                                            trigger={"availableNow": True})
+    q1.awaitTermination()
+    q2.awaitTermination()
+    g = sorted(tuple(r) for r in spark.read.parquet(f"{root}/out/good")
+               .select("event_id", "uid", "mid", "score", "ts").collect())
+    assert g == [(0, 1, 10, 4.5, 100), (1, 2, 11, 3.0, 101)]
+    b = sorted((r.line, r.reason) for r in spark.read.parquet(f"{root}/out/bad").collect())
+    assert b == [("3|x|1.0|102|2", "bad number"), ("4|12|2.0|103", "too few fields"),
+                 ("bad line", "too few fields")]
