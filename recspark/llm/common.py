@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 #: White space that separates words, as a regular-expression class body.
@@ -56,7 +57,7 @@ def text_chunks(batch: pa.RecordBatch, column: str = "text",
     """Slices of a batch that hold about ``chunk_bytes`` of text each."""
     texts = batch.column(column)
     start, held = 0, 0
-    for i, n in enumerate(pa.compute.binary_length(texts).to_pylist()):
+    for i, n in enumerate(pc.binary_length(texts).to_pylist()):
         held += n or 0
         if held >= chunk_bytes:
             yield batch.slice(start, i + 1 - start)

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recspark.llm import chat, linededup, mixing, sharding
+from recspark.llm import chat, linededup, mixing, setsketch, sharding
 from recspark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,12 @@ def query(name: str):
     return reg
 
 
+@query("op2_setsketch_dedup")
+def op2(spark, d):
+    """Components of documents with five-word shingles alike to 0.75 or more."""
+    return setsketch.near_duplicates(table(spark, d, "documents"))
+
+
 @query("op3_poisson_mixing")
 def op3(spark, d):
     """All copies of all documents, in a global random order."""
