@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recspark.llm import chat, linededup, mixing, setsketch, sharding
+from recspark.llm import bpe, chat, linededup, mixing, quality, setsketch, sharding
 from recspark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,14 @@ def query(name: str):
     return reg
 
 
+@query("op1_quality_trees")
+def op1(spark, d):
+    """Base statistics, base rules and the boosted trees' verdict."""
+    docs = table(spark, d, "documents")
+    model = quality.fit_quality(docs, table(spark, d, "labels"))
+    return quality.score_documents(docs, model, keep_columns=False)
+
+
 @query("op2_setsketch_dedup")
 def op2(spark, d):
     """Components of documents with five-word shingles alike to 0.75 or more."""
@@ -58,6 +66,19 @@ def op7(spark, d):
     return sharding.shard_documents(table(spark, d, "documents"), SHARDS)
 
 
+def vocabulary_path() -> str:
+    """The byte-level vocabulary of the query; any file of its format will do."""
+    import public_tokenizers
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query("op8_bpe")
+def op8(spark, d):
+    """Ids of all whole texts and the texts decoded from them, as digests."""
+    vocabulary = bpe.load_vocabulary(vocabulary_path())
+    return bpe.encode_documents(table(spark, d, "documents"), vocabulary, with_ids=False)
+
+
 @query("op10_line_dedup")
 def op10(spark, d):
     """Lines of 40 code points or more in 5 documents or more stay in one."""
