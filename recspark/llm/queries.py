@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recspark.llm import bpe, chat, linededup, mixing, quality, setsketch, sharding
+from recspark.llm import bpe, chat, langid, linededup, mixing, quality, setsketch, sharding
 from recspark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -48,6 +48,12 @@ def op3(spark, d):
     return mixing.mix_sources(table(spark, d, "documents"), MIX_WEIGHTS, MIX_OTHER_WEIGHT)
 
 
+@query("op4_language_profiles")
+def op4(spark, d):
+    """Language of every whole text, learned from the rows that aren't held out."""
+    return langid.identify_languages(table(spark, d, "documents"))
+
+
 @query("op5_chat_windows")
 def op5(spark, d):
     """All conversations and one more that quotes control strings."""
