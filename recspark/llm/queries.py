@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recspark.llm import bpe, chat, langid, linededup, mixing, quality, setsketch, sharding
+from recspark.llm import (bpe, chat, langid, linededup, mixing, pii, quality, setsketch,
+                          sharding)
 from recspark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -85,6 +86,13 @@ def op8(spark, d):
     return bpe.encode_documents(table(spark, d, "documents"), vocabulary, with_ids=False)
 
 
+@query("op9_pii_tagger")
+def op9(spark, d):
+    """Base spans and the network's further spans in every whole text."""
+    docs = table(spark, d, "documents")
+    return pii.find_personal_data(docs, pii.fit_network(docs))
+
+
 @query("op10_line_dedup")
 def op10(spark, d):
     """Lines of 40 code points or more in 5 documents or more stay in one."""
