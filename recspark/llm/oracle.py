@@ -37,6 +37,24 @@ select doc_id, text, lang, source, n_chars, n_copies::int as n_copies, copy::int
        md5('mix-order|' || key || '|' || copy) as mix_key
 from copies"""
 
+ORACLES["op6_e8_lattice_dedup"] = """
+with recursive v as (
+  select row_number() over () as r, vec_id, label, embedding::double[] as e from embeddings),
+fit as (select * from v where label is not null and len(e) > 0
+        and not list_contains(list_transform(e, lambda x: x is null or not isfinite(x)), true)
+        and list_contains(list_transform(e, lambda x: x <> 0), true)),
+pairs as (select a.r, a.vec_id as a, b.vec_id as b from fit a join fit b
+          on a.label = b.label and len(a.e) = len(b.e) and a.r <> b.r
+          where list_cosine_similarity(a.e, b.e) >= 0.93),
+reach(a, b) as (select a, b from pairs
+                union select reach.a, pairs.b from reach join pairs on reach.b = pairs.a),
+low as (select a, min(b) as m from reach group by a),
+n as (select r, count(*) as n from pairs group by r)
+select v.vec_id, coalesce(n.n, 0) as n_links,
+       least(v.vec_id, coalesce(low.m, v.vec_id)) as component_id,
+       v.vec_id = least(v.vec_id, coalesce(low.m, v.vec_id)) as kept
+from v left join n using (r) left join low on low.a = v.vec_id"""
+
 ORACLES["op10_line_dedup"] = """
 with d as (select row_number() over () as r, doc_id, string_split(coalesce(text, ''), chr(10)) as ls
            from documents),

@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recspark.llm import (bpe, chat, langid, linededup, mixing, pii, quality, setsketch,
-                          sharding)
+from recspark.llm import (bpe, chat, langid, lattice, linededup, mixing, pii, quality,
+                          setsketch, sharding)
 from recspark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,6 +67,12 @@ def op5(spark, d):
     return chat.conversation_digests(chat.format_windows(turns.unionByName(quoted)))
 
 
+@query("op6_e8_lattice_dedup")
+def op6(spark, d):
+    """Links, components and kept rows of all vectors, by label."""
+    return lattice.near_duplicate_vectors(table(spark, d, "embeddings"))
+
+
 @query("op7_rendezvous_sharding")
 def op7(spark, d):
     """Eight equal shards, and the shard of each row among nine."""
