@@ -111,20 +111,21 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN
     added = ("n_lines", "n_dropped", "keep_runs")
     cols = [c for c in docs.columns if not (detail and c in added)]
     bitmaps = keep_bitmaps(docs, min_chars, min_docs).select(
-        F.col("doc_id").alias("_d"), F.col("row_id").alias("_r"), F.col("keep_runs").alias("_k"))
-    both = (docs.select(*cols).withColumn("_row", _row_id())
-            .join(bitmaps.hint("shuffle_hash"),
-                  F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_row") == F.col("_r")), "left"))
-    text = (F.when(F.col("_k").isNull(), F.col("text"))
-            .otherwise(_kept_text(lines_of(), F.col("_k"))))
-    out = both.withColumn("_t", text)
-    made = {"text": F.col("_t"), "n_chars": F.char_length("_t").cast("long")}
+        F.col("doc_id").alias("__ld_doc"), F.col("row_id").alias("__ld_id"),
+        F.col("keep_runs").alias("__ld_runs"))
+    both = (docs.select(*cols).withColumn("__ld_row", _row_id())
+            .join(bitmaps.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("__ld_doc"))
+                  & (F.col("__ld_row") == F.col("__ld_id")), "left"))
+    runs = F.col("__ld_runs")
+    out = both.withColumn("__ld_text", F.when(runs.isNull(), F.col("text"))
+                          .otherwise(_kept_text(lines_of(), runs)))
+    made = {"text": F.col("__ld_text"), "n_chars": F.char_length("__ld_text").cast("long")}
     picked = [made[c].alias(c) if c in made else F.col(c) for c in cols]
     if detail:
         n_dropped = F.aggregate(
-            F.transform("_k", lambda n, i: F.when(i % 2 == 1, n).otherwise(F.lit(0))),
+            F.transform(runs, lambda n, i: F.when(i % 2 == 1, n).otherwise(F.lit(0))),
             F.lit(0), lambda a, n: a + n)
         picked += [F.size(lines_of()).cast("long").alias("n_lines"),
                    F.coalesce(n_dropped, F.lit(0)).cast("long").alias("n_dropped"),
-                   F.col("_k").alias("keep_runs")]
+                   runs.alias("keep_runs")]
     return out.select(*picked)

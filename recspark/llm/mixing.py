@@ -67,28 +67,30 @@ def source_rates(docs: DataFrame, weights: Mapping[str, float], other_weight: fl
 
 
 def mix_sources(docs: DataFrame, weights: Mapping[str, float], other_weight: float = 1.0,
-                epochs: float = 1.0, seed: str = "mix") -> DataFrame:
+                epochs: float = 1.0, seed: str = "mix", detail: bool = False) -> DataFrame:
     """The copies of all documents in a global random order.
 
-    Adds ``copy`` (0 for the first), ``n_copies`` and ``mix_key``; rows are in
-    the order of ``mix_key`` across and inside the output partitions.
+    With ``detail`` adds ``copy`` (0 for the first), ``n_copies`` and
+    ``mix_key``, the order of rows across and inside the output partitions.
     """
     rates = source_rates(docs, weights, other_weight, epochs)
-    u = hashed_unit(seed, _draw_key())
-    kept = [c for c in docs.columns if c not in ("copy", "n_copies", "mix_key")]
+    added = ["copy", "n_copies", "mix_key"] if detail else []
+    kept = [c for c in docs.columns if c not in added]
 
     def copies(rate: float) -> Column:
         below = F.array(*[F.lit(c) for c in poisson_cdf(rate)])
-        return F.size(F.filter(below, lambda c: c <= F.col("_u")))
+        return F.size(F.filter(below, lambda c: c <= F.col("__mix_u")))
 
     n = copies(rates.get(None, 0.0))
     for s, rate in rates.items():
         if s is not None:
             n = F.when(F.col("source") == F.lit(s), copies(rate)).otherwise(n)
     key = F.md5(F.concat(F.lit(f"{seed}-order|"), _draw_key(), F.lit("|"),
-                         F.col("copy").cast("string")).cast("binary"))
-    drawn = (docs.select(*kept).withColumn("_u", u).withColumn("n_copies", n)
-             .where("n_copies > 0")
-             .withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("n_copies") - 1)))
-             .withColumn("mix_key", key).drop("_u"))
-    return drawn.repartitionByRange("mix_key").sortWithinPartitions("mix_key")
+                         F.col("__mix_copy").cast("string")).cast("binary"))
+    drawn = (docs.select(*kept).withColumn("__mix_u", hashed_unit(seed, _draw_key()))
+             .withColumn("__mix_n", n).where("__mix_n > 0")
+             .withColumn("__mix_copy", F.explode(F.sequence(F.lit(0), F.col("__mix_n") - 1)))
+             .withColumn("__mix_key", key))
+    ordered = drawn.repartitionByRange("__mix_key").sortWithinPartitions("__mix_key")
+    names = {"copy": "__mix_copy", "n_copies": "__mix_n", "mix_key": "__mix_key"}
+    return ordered.select(*kept, *(F.col(names[c]).alias(c) for c in added))

@@ -290,3 +290,15 @@ def score_documents(docs: DataFrame, model: Trees, threshold: float = THRESHOLD,
         schema = schema.add(c, "long")
     schema = schema.add("base_failed", "boolean").add("quality", "double").add("kept", "boolean")
     return docs.select(*dict.fromkeys([*cols, "text"])).mapInArrow(score, schema)
+
+
+def keep_good_documents(docs: DataFrame, model: Trees, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` that the base rules and the model keep."""
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in text_chunks(batch):
+                base, x = statistics(part.column("text"))
+                good = ~base_failed(base) & (model.probability(x) >= threshold)
+                yield part.filter(pa.array(good))
+
+    return docs.mapInArrow(keep, docs.schema)

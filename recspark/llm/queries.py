@@ -46,7 +46,8 @@ def op2(spark, d):
 @query("op3_poisson_mixing")
 def op3(spark, d):
     """All copies of all documents, in a global random order."""
-    return mixing.mix_sources(table(spark, d, "documents"), MIX_WEIGHTS, MIX_OTHER_WEIGHT)
+    return mixing.mix_sources(table(spark, d, "documents"), MIX_WEIGHTS, MIX_OTHER_WEIGHT,
+                              detail=True)
 
 
 @query("op4_language_profiles")
