@@ -31,6 +31,7 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
+from pyspark.sql.types import ArrayType, IntegerType
 
 #: Words up to this many bytes are encoded in matrices.
 SHORT = 48
@@ -291,7 +292,7 @@ def encode_documents(docs: DataFrame, vocabulary: Vocabulary, with_ids: bool = T
 
     schema = docs.select(*kept).schema
     if with_ids:
-        schema = schema.add("token_ids", "array<int>")
+        schema = schema.add("token_ids", ArrayType(IntegerType()))
     for field in added.split(", "):
         schema = schema.add(*field.split(" "))
     needed = docs if with_ids else docs.select("doc_id", "text")
