@@ -69,13 +69,22 @@ def log10_count(n) -> Column:
     return F.log10(F.greatest(_col(n), F.lit(1)).cast("double"))
 
 
+#: Every character up to the blank, which a trim takes off both ends.
+TRIMMED = "".join(map(chr, range(33)))
+
+
+def trim(c) -> Column:
+    """Strip blanks, tabs, line breaks and other control characters."""
+    return F.btrim(_col(c), F.lit(TRIMMED))
+
+
 def safe_int(c) -> Column:
     """Trim and cast to INT, NULL on bad input (no ANSI error)."""
-    return F.trim(_col(c)).try_cast("int")
+    return trim(c).try_cast("int")
 
 
 def safe_double(c) -> Column:
-    return F.trim(_col(c)).try_cast("double")
+    return trim(c).try_cast("double")
 
 
 def split_fields(line, sep: str) -> Column:

@@ -3,7 +3,7 @@
 Nothing here is needed on a managed cluster: every operator takes the
 ``SparkSession`` it is given.  The only session setting the library reads is
 ``spark.checkpoint.dir`` (shared storage for lineage cuts, stream checkpoints
-and versioned tables).  It is set here only when the cluster left it unset.
+and versioned tables); without it operators raise on a cluster.
 """
 
 from __future__ import annotations
@@ -13,8 +13,6 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-_LOCAL_FALLBACK_DIR = "/tmp/recspark-checkpoints"
-
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "recspark") -> SparkSession:
@@ -34,7 +32,6 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    checkpoint_root(spark)
     return spark
 
 
@@ -70,15 +67,20 @@ def cluster_conf(executors: int, cores_per_executor: int,
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """Shared folder for checkpoints; the cluster's ``spark.checkpoint.dir``.
+    """The folder that the driver and all executors share.
 
-    Falls back to a local folder only when the session has none (tests).
+    It is the session's ``spark.checkpoint.dir`` (or the context's checkpoint
+    folder).  Where neither is set, a session on one machine (``local[...]``)
+    uses a folder of its own; on a cluster this raises, because executors would
+    write to their own disks.  The session's settings are never changed.
     """
     sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
-        root = _LOCAL_FALLBACK_DIR
-        spark.conf.set("spark.checkpoint.dir", root)
+        one_machine = sc.master.startswith("local") and not sc.master.startswith("local-cluster")
+        if not one_machine:
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        root = f"/tmp/recspark-{sc.applicationId}"
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
     return root.rstrip("/")

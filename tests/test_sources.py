@@ -1,6 +1,8 @@
 import os
 import tempfile
 
+import pytest
+
 from recspark import sources
 
 
@@ -87,3 +89,54 @@ def test_upsert_log_compaction(spark):
     assert sources.upsert_log_compact(spark, path, "uid") == 2
     got = {r.uid: r.v for r in sources.upsert_log_read(spark, path, "uid").collect()}
     assert got == {1: "d", 2: "c", 3: "e"}
+
+
+def test_tabs_and_control_characters_are_trimmed(spark):
+    from recspark.sources.text import parse_delimited
+    lines = spark.createDataFrame([("\t 1 \t,\x01\ttag\t\x1f ,  2\t",)], "value string")
+    good, bad = parse_delimited(lines, ",", [("a", "int"), ("tag", "string"), ("b", "int")])
+    assert [tuple(r) for r in good.collect()] == [(1, "tag", 2)] and bad.count() == 0
+
+
+def test_compaction_removes_what_no_reader_needs(spark):
+    path = tempfile.mkdtemp(prefix="recspark-log-") + "/log"
+    mk = lambda rows: spark.createDataFrame(rows, "uid int, v string")
+    for b in range(6):
+        sources.upsert_log_write(mk([(b % 3, f"v{b}"), (9, f"n{b}")]), path, b)
+        sources.upsert_log_compact(spark, path, "uid")
+    got = {r.uid: r.v for r in sources.upsert_log_read(spark, path, "uid").collect()}
+    assert got == {0: "v3", 1: "v4", 2: "v5", 9: "n5"}
+    folders = sorted(f for f in os.listdir(path) if f.startswith("batch_id="))
+    assert folders == ["batch_id=5"]
+    kept = sorted(f for f in os.listdir(path + "_snapshot") if f.startswith("upto="))
+    assert kept == ["upto=4", "upto=5"]
+
+
+def test_missing_shared_folder(spark):
+    """Without spark.checkpoint.dir one machine gets a local folder, a cluster an
+    error, and the session's settings stay as they are."""
+    from recspark.session import checkpoint_root
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        applicationId, master = "app-1", "spark://somewhere:7077"
+        folder = None
+
+        def getCheckpointDir(self):
+            return self.folder
+
+        def setCheckpointDir(self, folder):
+            self.folder = folder
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    for master in ("spark://somewhere:7077", "yarn", "k8s://x", "local-cluster[3,2,1000]"):
+        Session.sparkContext.master = master
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            checkpoint_root(Session)
+    Session.sparkContext.master = "local[4]"
+    assert "app-1" in checkpoint_root(Session)
