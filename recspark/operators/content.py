@@ -1,11 +1,13 @@
 """Content-based similar items from genre text (P4, V2, V4, V5 + V3, W4).
 
-Items with the same genre string have the same TF-IDF vector, so vectors are
-built and compared once per distinct (lower-cased) genre string, and the
-group-level similarities are then expanded to items.  The expansion never
-emits all item pairs of two groups when ``k`` is set: each group contributes
-only its ``k + 1`` smallest item ids (ties order by id), enough for any item's
-top ``k`` after its own id is removed.
+Items with the same genre terms, in any order, have the same TF-IDF vector, so
+vectors are built and compared once per distinct sorted term list (a group), and
+the group-level similarities are expanded to items with a cut ``k``: each group
+gives only its ``k + 1`` smallest item ids (ties order by id), enough for any
+item's top ``k`` after its own id is removed.  The uncut list (W4) stays in its
+factored form: pairs of groups, and the members of each group.
+
+Items without a genre term count as items for the IDF but have no vector.
 """
 
 from __future__ import annotations
@@ -20,15 +22,16 @@ from recspark.schema import HASHING_TF_FEATURES, ITEM_SIM_FLOOR
 from recspark.session import checkpoint_root
 
 
-def _groups(movies: DataFrame) -> DataFrame:
-    """(mid, gkey): gkey is the lower-cased genre string; empty -> no vector."""
-    return (movies.select("mid", F.lower(F.coalesce("genres", F.lit(""))).alias("gkey"))
-            .where(F.col("gkey") != ""))
-
-
 def _tokens(col):
     """V2: lower-case, '|' -> ' ', split on single spaces, drop empty tokens."""
-    return F.filter(F.split(genre_text(col), " "), lambda t: t != "")
+    return F.filter(F.split(F.lower(genre_text(col)), " "), lambda t: t != "")
+
+
+def _groups(movies: DataFrame) -> DataFrame:
+    """(mid, gkey): gkey is the sorted term list as text; no term -> no row."""
+    terms = F.array_sort(_tokens(F.coalesce("genres", F.lit(""))))
+    return (movies.select("mid", F.array_join(terms, "|").alias("gkey"))
+            .where(F.col("gkey") != ""))
 
 
 def tfidf_exact(movies: DataFrame) -> DataFrame:
@@ -52,35 +55,40 @@ def tfidf_exact(movies: DataFrame) -> DataFrame:
 
 
 def tfidf_hashed(movies: DataFrame, num_features: int = HASHING_TF_FEATURES) -> DataFrame:
-    """V2 + V4 + V5 with Spark ML: Tokenizer -> HashingTF -> IDF.
+    """V2 + V4 + V5 with Spark ML: terms -> HashingTF -> IDF.
 
-    IDF is fitted on all items; vectors are produced per distinct genre
-    string -> (gkey, features ARRAY<DOUBLE>).
+    IDF is fitted on all items, those without a term among them; vectors are
+    produced per group -> (gkey, features ARRAY<DOUBLE>).
     """
-    from pyspark.ml.feature import IDF, HashingTF, Tokenizer
+    from pyspark.ml.feature import IDF, HashingTF
     from pyspark.ml.functions import vector_to_array
 
-    g = _groups(movies).withColumn("text", genre_text("gkey"))
-    tok = Tokenizer(inputCol="text", outputCol="words")
     htf = HashingTF(inputCol="words", outputCol="tf", numFeatures=num_features)
-    idf_model = IDF(inputCol="tf", outputCol="tfidf").fit(htf.transform(tok.transform(g)))
-    distinct = g.select("gkey", "text").distinct()
-    vecs = idf_model.transform(htf.transform(tok.transform(distinct)))
+    every = movies.select(_tokens(F.coalesce("genres", F.lit(""))).alias("words"))
+    idf_model = IDF(inputCol="tf", outputCol="tfidf").fit(htf.transform(every))
+    distinct = _groups(movies).select("gkey").distinct().withColumn(
+        "words", F.split("gkey", r"\|"))
+    vecs = idf_model.transform(htf.transform(distinct))
     return vecs.select("gkey", vector_to_array("tfidf").alias("features"))
 
 
+def hashed_buckets(terms: DataFrame, num_features: int = HASHING_TF_FEATURES) -> DataFrame:
+    """V4: (term, bucket) of a table of distinct terms, as HashingTF deals them."""
+    from pyspark.ml.feature import HashingTF
+    from pyspark.ml.functions import vector_to_array
+    htf = HashingTF(inputCol="w", outputCol="v", numFeatures=num_features)
+    v = htf.transform(terms.select("term", F.array("term").alias("w")))
+    return v.select("term", (F.array_position(vector_to_array("v"), F.lit(1.0)) - 1)
+                    .cast("int").alias("bucket"))
+
+
 def expand_group_similarity(group_sims: DataFrame, members: DataFrame,
-                            k: int | None) -> DataFrame:
+                            k: int) -> DataFrame:
     """(ga, gb, score) + (mid, gkey) -> (mid, sim_mid, score, rk) per item.
 
     Self pairs (mid == sim_mid) are removed; order is score desc, sim_mid asc.
     """
     a = members.select(F.col("mid"), F.col("gkey").alias("ga"))
-    if k is None:
-        b = members.select(F.col("mid").alias("sim_mid"), F.col("gkey").alias("gb"))
-        pairs = a.join(group_sims, "ga").join(b, "gb").where(F.col("mid") != F.col("sim_mid"))
-        return top_k_per_key(pairs.select("mid", "sim_mid", "score"), "mid",
-                             [F.desc("score"), F.asc("sim_mid")], None)
     smallest = top_k_per_key(
         members.select(F.col("gkey").alias("gb"), F.col("mid").alias("sim_mid")),
         "gb", [F.asc("sim_mid")], k + 1, "_r").drop("_r")
@@ -92,52 +100,53 @@ def expand_group_similarity(group_sims: DataFrame, members: DataFrame,
                          [F.desc("score"), F.asc("sim_mid")], k)
 
 
-def _group_sims(vectors: DataFrame, floor: float, k: int | None, digits, sparse: bool):
-    # Group ids: a stable 64-bit hash of the genre string, so the blocked
-    # operator can work on integer ids (``check_group_ids_unique`` tests for
-    # collisions).  The per-group vectors are read several times (block
-    # count, pair scoring, id -> name), so they are materialised once with a
-    # reliable checkpoint in the shared checkpoint folder, which also cuts
-    # the lineage of the TF-IDF pipeline.
-    checkpoint_root(vectors.sparkSession)
-    keyed = vectors.withColumn("gid", F.xxhash64("gkey")).checkpoint(eager=True)
+def _keyed_vectors(movies: DataFrame, hashed: bool, num_features: int) -> DataFrame:
+    """(gid, gkey, vector columns): a group's id is its smallest item id, so two
+    groups never share one.  Read several times, hence written once, with a
+    reliable checkpoint in the shared checkpoint folder."""
+    checkpoint_root(movies.sparkSession)
+    vectors = tfidf_hashed(movies, num_features) if hashed else tfidf_exact(movies)
+    ids = _groups(movies).groupBy("gkey").agg(F.min("mid").alias("gid"))
+    return vectors.join(ids, "gkey").checkpoint(eager=True)
+
+
+def _group_sims(keyed: DataFrame, floor: float, k: int | None, digits, hashed: bool):
     kw = dict(id_col="gid", floor=floor, digits=digits, include_self=True,
-              out_cols=("ga_id", "gb_id", "score"), rank_col=None)
+              out_cols=("ga", "gb", "score"), rank_col=None)
     if k is not None:
         kw.update(k=k + 1, keep_ties=True)
     else:
         kw.update(k=None)
-    if sparse:
-        sims = similar_items(keyed, vec_col="weights", keys_col="terms", **kw)
-    else:
-        sims = similar_items(keyed, vec_col="features", **kw)
-    names = keyed.select("gid", "gkey")
-    return (sims.join(names.select(F.col("gid").alias("ga_id"), F.col("gkey").alias("ga")), "ga_id")
-            .join(names.select(F.col("gid").alias("gb_id"), F.col("gkey").alias("gb")), "gb_id")
-            .select("ga", "gb", "score"))
+    if hashed:
+        return similar_items(keyed, vec_col="features", **kw)
+    return similar_items(keyed, vec_col="weights", keys_col="terms", **kw)
 
 
-def content_similar_items(movies: DataFrame, floor: float = ITEM_SIM_FLOOR,
-                          k: int | None = None, digits: int | None = None,
-                          hashed: bool = False,
-                          num_features: int = HASHING_TF_FEATURES) -> DataFrame:
-    """Similar items by genre TF-IDF -> (mid, sim_mid, score, rk).
+def similar_groups(movies: DataFrame, floor: float = ITEM_SIM_FLOOR, digits: int | None = None,
+                   hashed: bool = False, num_features: int = HASHING_TF_FEATURES) -> DataFrame:
+    """W4, factored: (ga, gb, score) of all groups above the floor, a group with
+    itself included; a group is named by its smallest item id.  With
+    ``group_members`` this is the whole uncut list, without writing it out item
+    by item: items of ``ga`` and ``gb`` are similar by ``score``."""
+    return _group_sims(_keyed_vectors(movies, hashed, num_features), floor, None, digits, hashed)
 
-    ``hashed=True`` follows the original feature pipeline (50 hashed buckets,
-    collisions possible); the default uses exact terms.  ``k=None`` keeps all
-    pairs above the floor, as the original content list did (W4).
-    """
-    if hashed:
-        vecs = tfidf_hashed(movies, num_features)
-        sims = _group_sims(vecs, floor, k, digits, sparse=False)
-    else:
-        vecs = tfidf_exact(movies)
-        sims = _group_sims(vecs, floor, k, digits, sparse=True)
-    return expand_group_similarity(sims, _groups(movies), k)
+
+def group_members(movies: DataFrame) -> DataFrame:
+    """(mid, ga): the group of every item with a genre term."""
+    g = _groups(movies)
+    ids = g.groupBy("gkey").agg(F.min("mid").alias("ga"))
+    return g.join(ids, "gkey").select("mid", "ga")
 
 
-def check_group_ids_unique(movies: DataFrame) -> bool:
-    """True when no two distinct genre strings share a 64-bit group hash."""
-    g = _groups(movies).select("gkey").distinct()
-    return g.select(F.xxhash64("gkey").alias("h")).distinct().count() == g.count()
+def content_similar_items(movies: DataFrame, k: int, floor: float = ITEM_SIM_FLOOR,
+                          digits: int | None = None, hashed: bool = False,
+                          num_features: int = HASHING_TF_FEATURES) -> DataFrame:
+    """The k most similar items by genre TF-IDF -> (mid, sim_mid, score, rk).
 
+    ``hashed=True`` follows the original feature pipeline (50 hashed buckets,
+    collisions possible); the default uses exact terms.
+    """
+    keyed = _keyed_vectors(movies, hashed, num_features)
+    members = _groups(movies).join(keyed.select("gkey", "gid"), "gkey").select(
+        "mid", F.col("gid").alias("gkey"))
+    return expand_group_similarity(_group_sims(keyed, floor, k, digits, hashed), members, k)

@@ -2,18 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from recspark.functions import contains_ci, yearmonth
 from recspark.operators.topk import top_k_per_key
 from recspark.schema import DEFAULT_GENRES, GENRE_TOP_K
 
-# A genre list is a driver-side parameter; it is broadcast, so its size is
-# checked here instead of trusting the caller.
-MAX_GENRES = 100_000
-
-
 def item_popularity(ratings: DataFrame, ordered: bool = False) -> DataFrame:
     """A1 (+ O1): number of ratings per item -> (mid, count)."""
     out = ratings.groupBy("mid").agg(F.count("mid").alias("count"))
@@ -36,16 +31,6 @@ def item_average(ratings: DataFrame) -> DataFrame:
     return ratings.groupBy("mid").agg(F.avg("score").alias("avg"))
 
 
-def genre_frame(spark: SparkSession, genres=None) -> DataFrame:
-    genres = list(DEFAULT_GENRES if genres is None else genres)
-    if len(genres) > MAX_GENRES:
-        raise ValueError(f"{len(genres)} genres exceed the broadcast bound {MAX_GENRES}")
-    # A literal array exploded on the JVM side: no Python RDD, no Python
-    # worker, and Catalyst sees a small local relation.
-    return spark.range(1).select(
-        F.explode(F.array(*[F.lit(g) for g in genres]).cast("array<string>")).alias("genre"))
-
-
 def genre_top_n(movies: DataFrame, averages: DataFrame, genres=None,
                 k: int | None = GENRE_TOP_K, match: str = "substring") -> DataFrame:
     """J1 + J3 + F5 + W1: best items per genre by mean score.
@@ -53,21 +38,21 @@ def genre_top_n(movies: DataFrame, averages: DataFrame, genres=None,
     -> (genre, rk, mid, avg); ties broken by mid ascending; a genre that
     matches no item is absent.  ``match='substring'`` keeps the original
     semantics (lower-cased ``genres`` contains the lower-cased genre name);
-    ``match='token'`` compares whole ``|``-separated tokens via an equi-join.
+    ``match='token'`` compares whole ``|``-separated tokens.  A name listed
+    twice counts once for each.
     """
-    spark = movies.sparkSession
-    g = genre_frame(spark, genres)
+    names = F.array(*[F.lit(g) for g in (DEFAULT_GENRES if genres is None else genres)])
+    names = names.cast("array<string>")
     scored = movies.select("mid", "genres").join(averages.select("mid", "avg"), "mid")
+    # The list is a parameter, so an item finds its genres without a join.
     if match == "substring":
-        # Theta join against a small, size-checked list: broadcast nested
-        # loop join, the movie side is streamed without a shuffle.
-        pairs = scored.join(F.broadcast(g), contains_ci(F.col("genres"), F.col("genre")))
+        found = F.filter(names, lambda g: contains_ci(F.col("genres"), g))
     elif match == "token":
-        toks = scored.select("mid", "avg", F.explode(
-            F.array_distinct(F.split(F.lower("genres"), r"\|"))).alias("_tok"))
-        pairs = toks.join(F.broadcast(g.withColumn("_tok", F.lower("genre"))), "_tok")
+        tokens = F.split(F.lower("genres"), r"\|")
+        found = F.filter(names, lambda g: F.array_contains(tokens, F.lower(g)))
     else:
         raise ValueError(f"unknown match mode {match!r}")
+    pairs = scored.select("mid", "avg", F.explode(found).alias("genre"))
     ranked = top_k_per_key(pairs.select("genre", "mid", "avg"), "genre",
                            [F.desc("avg"), F.asc("mid")], k)
     return ranked.select("genre", "rk", "mid", "avg")

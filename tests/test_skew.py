@@ -86,7 +86,7 @@ def test_content_expansion_exact_under_hot_group(spark):
     movies = spark.createDataFrame(rows, "mid int, name string, genres string")
     k = 5
     got = sorted((r.mid, r.sim_mid, r.score, r.rk) for r in
-                 content_similar_items(movies, floor=0.2, k=k, digits=6).collect())
+                 content_similar_items(movies, k, floor=0.2, digits=6).collect())
 
     docs = {mid: g.lower().split("|") for mid, _, g in rows}
     m = len(docs)
