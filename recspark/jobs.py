@@ -33,13 +33,17 @@ def load_data(spark: SparkSession, movie_path: str, rating_path: str, tag_path:
                                (S.TABLE_RATING, text.read_ratings_csv, rating_path),
                                (S.TABLE_TAG, text.read_tags_csv, tag_path)):
         good, bad = reader(spark, path)
-        result[name] = _write(good, out, name, fmt)
+        if name == S.TABLE_RATING:          # looked up by user while streaming
+            sinks.write_clustered(good, f"{out.rstrip('/')}/{name}", "uid", fmt)
+            result[name] = good
+        else:
+            result[name] = _write(good, out, name, fmt)
         _write(bad, out, f"{name}_bad", fmt)
     movies = spark.read.format(fmt).load(f"{out.rstrip('/')}/{S.TABLE_MOVIE}")
     tags = spark.read.format(fmt).load(f"{out.rstrip('/')}/{S.TABLE_TAG}")
     with_tags = tag_ops.items_with_tags(movies, tags)
     sinks.write_keyed_docs(with_tags, "mid", f"{out.rstrip('/')}/{S.TABLE_MOVIE_WITH_TAGS}",
-                           docs_fmt)
+                           [F.asc("name"), F.asc("genres"), F.asc("tags")], docs_fmt)
     result[S.TABLE_MOVIE_WITH_TAGS] = with_tags
     return result
 
@@ -47,7 +51,8 @@ def load_data(spark: SparkSession, movie_path: str, rating_path: str, tag_path:
 def statistics(ratings: DataFrame, movies: DataFrame, out: str, genres=None,
                zone: str = "UTC", fmt: str = "parquet") -> dict[str, DataFrame]:
     """A1/O1, A2/X3/O2, A3, J1 + J3 + W1 nested per genre."""
-    avg = stats.item_average(ratings)
+    avg = _write(stats.item_average(ratings), out, S.TABLE_AVERAGE, fmt)
+    avg = ratings.sparkSession.read.format(fmt).load(f"{out.rstrip('/')}/{S.TABLE_AVERAGE}")
     top = stats.genre_top_n(movies, avg, genres, k=S.GENRE_TOP_K)
     nested = topk.nest_recs(top.withColumnRenamed("genre", "genres"), "genres",
                             score_col="avg")
@@ -57,7 +62,7 @@ def statistics(ratings: DataFrame, movies: DataFrame, out: str, genres=None,
         S.TABLE_RATE_MORE_RECENTLY: _write(
             stats.item_popularity_by_month(ratings, zone=zone, ordered=True), out,
             S.TABLE_RATE_MORE_RECENTLY, fmt),
-        S.TABLE_AVERAGE: _write(avg, out, S.TABLE_AVERAGE, fmt),
+        S.TABLE_AVERAGE: avg,
         S.TABLE_GENRES_TOP: _write(nested, out, S.TABLE_GENRES_TOP, fmt),
     }
 
@@ -71,19 +76,22 @@ def offline(ratings: DataFrame, out: str, rank: int = S.OFFLINE_ALS["rank"],
     user = topk.nest_recs(factors.user_recs(model, S.USER_RECS_K), "uid")
     item = topk.nest_recs(factors.item_similar(model, S.ITEM_SIM_FLOOR, S.ITEM_SIMS_K),
                           "mid", item_col="sim_mid")
+    # MovieRecs is looked up by item while streaming.
+    sinks.write_clustered(item, f"{out.rstrip('/')}/{S.TABLE_MOVIE_RECS}", "mid", fmt)
     return {S.TABLE_USER_RECS: _write(user, out, S.TABLE_USER_RECS, fmt),
-            S.TABLE_MOVIE_RECS: _write(item, out, S.TABLE_MOVIE_RECS, fmt)}
+            S.TABLE_MOVIE_RECS: item}
 
 
-def content(movies: DataFrame, out: str, hashed: bool = True, k: int | None = None,
+def content(movies: DataFrame, out: str, k: int, hashed: bool = True,
             fmt: str = "parquet") -> dict[str, DataFrame]:
-    """P4 + V2 + V4 + V5 + V3 -> ContentMovieRecs (all above the floor, W4)."""
-    sims = content_ops.content_similar_items(movies, S.ITEM_SIM_FLOOR, k=k, hashed=hashed)
+    """P4 + V2 + V4 + V5 + V3 -> ContentMovieRecs, the best k above the floor.
+    The uncut list (W4) is ``content.similar_groups`` with ``group_members``."""
+    sims = content_ops.content_similar_items(movies, k, S.ITEM_SIM_FLOOR, hashed=hashed)
     nested = topk.nest_recs(sims, "mid", item_col="sim_mid")
     return {S.TABLE_CONTENT_RECS: _write(nested, out, S.TABLE_CONTENT_RECS, fmt)}
 
 
-def evaluate_als(ratings: DataFrame, seed: int = 42, parallelism: int = 2,
+def evaluate_als(ratings: DataFrame, seed: int = 42, parallelism: int = 4,
                  sweep: bool = True, grid: dict | None = None) -> dict[str, DataFrame]:
     """U1 split 8:1:1 -> V12 sweeps, V13 grid + refit, V14 test RMSE."""
     r = splits.hash_split(ratings, ["uid", "mid", "ts"], [0.8, 0.1, 0.1],
@@ -106,11 +114,14 @@ def streaming(events: DataFrame, movie_recs: str, ratings: str, out: str,
     spark = events.sparkSession
 
     def sims():
-        return topk.explode_recs(spark.read.format(fmt).load(movie_recs), "mid",
-                                 rank_col=None)
+        t = spark.read.format(fmt).load(movie_recs)
+        extra = [c for c in (sinks.BUCKET_COL,) if c in t.columns]
+        return t.select("mid", *extra, F.explode("recs").alias("_r")).select(
+            "mid", *extra, F.col("_r.mid").alias("sim_mid"), F.col("_r.score").alias("score"))
 
     def seen():
-        return spark.read.format(fmt).load(ratings).select("uid", "mid")
+        t = spark.read.format(fmt).load(ratings)
+        return t.select("uid", "mid", *(c for c in (sinks.BUCKET_COL,) if c in t.columns))
 
     rec = StreamRecommender(sims, seen, f"{out.rstrip('/')}/{S.TABLE_STREAM_RECS}")
     return rec.start(events, checkpoint=checkpoint, trigger=trigger), rec

@@ -7,6 +7,8 @@ values use floor(x*1e6 + 0.5)/1e6, the same text as the Spark side.
 
 from __future__ import annotations
 
+from recspark.schema import DEFAULT_GENRES
+
 V_RATINGS = """v_ratings as (
   select cast(o_custkey as int) uid, cast(l_partkey as int) mid,
          cast(ceil(l_quantity/5) as double)/2 score,
@@ -47,6 +49,9 @@ def with_(*ctes: str) -> str:
     return "with " + ",\n".join(ctes) + "\n"
 
 
+#: (item damping, user damping) of the closed-form predictor's grid.
+DAMPINGS = [(a, b) for a in (1.0, 5.0, 10.0, 25.0, 100.0) for b in (1.0, 5.0, 10.0, 25.0, 100.0)]
+
 GENRE_TEST_LIST = ["Large", "Small", "Red", "Ring", "Foreign", "Rod"]
 
 
@@ -188,7 +193,9 @@ from j group by uid, mid"""
 ORACLES["stream_recs_batch"] = STREAM_RECS_SQL
 ORACLES["stream_recs"] = STREAM_RECS_SQL
 
-ORACLES["parse_movie_text"] = with_(V_MOVIES) + "select mid, name, genres from v_movies"
+ORACLES["parse_movie_text"] = with_(V_MOVIES) + "select mid, name, genres, " + ", ".join(
+    f"'{f} of ' || mid as {f}" for f in ("descri", "timelong", "issue", "shoot", "language",
+                                         "actors", "directors")) + " from v_movies"
 ORACLES["parse_ratings_csv"] = with_(V_RATINGS) + "select uid, mid, score, ts from v_ratings"
 ORACLES["parse_tags_csv"] = with_(V_TAGS) + "select uid, mid, tag, ts from v_tags"
 ORACLES["parse_tab_ratings"] = with_(V_RATINGS) + "select uid, mid, score from v_ratings"
@@ -214,5 +221,172 @@ from (select *, case when h < 0.8 then 'train' when h < 0.9 then 'validation' el
                  cast(ts as varchar))),1,7) as bigint) / 268435456.0 h from v_ratings))
 group by split"""
 
-ORACLES["content_similar_items_all"] = ORACLES["content_similar_items"].replace(
-    "select mid, sim_mid, score, rk from r where rk <= 20", "select mid, sim_mid, score, rk from r")
+# Groups of items with the same terms; a group is named by its smallest item id.
+V_GROUPS = """gm as (
+  select mid, array_to_string(list_sort(list_filter(
+           string_split(lower(replace(genres, '|', ' ')), ' '), lambda t: t <> '')), '|') gkey
+  from v_movies),
+g as (select gkey, min(mid) gid, count(*) gn from gm where gkey <> '' group by 1)"""
+
+
+def _group_pairs(term: str) -> str:
+    """Cosines of all pairs of groups over a term expression of ``tok``."""
+    return f"""
+tok as (select gid, gn, {term} t from (select gid, gn, unnest(string_split(gkey, '|')) tok from g) s
+        {{join}}),
+m as (select count(*) m from v_movies),
+x as (select gid, gn, t, count(*) tf from tok group by 1, 2, 3),
+df as (select t, sum(gn) df from x group by 1),
+w as (select x.gid, x.t, tf*ln((m.m+1.0)/(df.df+1.0)) w from x join df on x.t = df.t cross join m),
+n as (select gid, sqrt(sum(w*w)) nrm from w group by 1),
+p as (select a.gid ga, b.gid gb, sum(a.w*b.w) dp from w a join w b on a.t = b.t group by 1, 2),
+sim as (select ga, gb, floor(1000000*(dp/(na.nrm*nb.nrm)) + 0.5::double)/1000000 score
+        from p join n na on na.gid = ga join n nb on nb.gid = gb where na.nrm > 0 and nb.nrm > 0)"""
+
+
+_EXACT = _group_pairs("tok").replace("{join}", "")
+
+ORACLES["content_similar_items_all"] = (with_(V_MOVIES).rstrip() + ",\n" + V_GROUPS + ","
+    + _EXACT + "\nselect ga, gb, score from sim where score > 0.6::double")
+
+# The bucket (of 50) that Spark ML's HashingTF gives each term of the
+# part table's genre strings.
+TERM_BUCKETS = {
+    "standard": 17, "medium": 42, "promo": 49, "large": 22, "small": 22, "economy": 17,
+    "new": 35, "red": 2, "hot": 43, "cold": 20, "blue": 18, "old": 33, "gear": 45, "anvil": 44,
+    "gizmo": 42, "ring": 46, "widget": 19, "plate": 25, "bolt": 40, "rod": 32,
+}
+_HASHED = _group_pairs("bucket").replace("{join}", "join (values " + ", ".join(
+    f"('{t}', {b})" for t, b in TERM_BUCKETS.items()) + ") hb(term, bucket) on hb.term = s.tok")
+
+ORACLES["content_similar_items_hashed"] = (with_(V_MOVIES).rstrip() + ",\n" + V_GROUPS + ","
+    + _HASHED + """,
+mg as (select mid, gid from gm join g using (gkey)),
+r as (select a.mid, b.mid sim_mid, score,
+             row_number() over (partition by a.mid order by score desc, b.mid) rk
+      from sim join mg a on a.gid = ga join mg b on b.gid = gb
+      where a.mid <> b.mid and score > 0.6::double)
+select mid, sim_mid, score, rk from r where rk <= 20""")
+
+ORACLES["content_group_members"] = (with_(V_MOVIES).rstrip() + ",\n" + V_GROUPS
+    + "\nselect mid, gid as ga from gm join g using (gkey)")
+
+ORACLES["item_popularity_ordered"] = with_(V_RATINGS) + """
+select row_number() over (order by c desc, mid) as pos, mid, c as "count"
+from (select mid, count(mid) c from v_ratings group by mid)"""
+
+ORACLES["item_popularity_by_month_ordered"] = f"""
+select *, row_number() over (partition by yearmonth order by "count" desc, mid) as pos
+from ({ORACLES["item_popularity_by_month"]})"""
+
+ORACLES["genre_top_n_defaults"] = with_(V_RATINGS) + f"""
+select genre, rk, mid, "avg" from (
+  select genre, m.mid, a."avg",
+         row_number() over (partition by genre order by a."avg" desc, m.mid) rk
+  from (values {_genre_values(DEFAULT_GENRES)}) g(genre)
+  join (select cast(p_partkey as int) mid,
+               concat_ws('|', gs[p_partkey % 20 + 1], gs[p_partkey * 7 % 20 + 1]) genres
+        from part, (select [{", ".join(f"'{g}'" for g in DEFAULT_GENRES)}] gs)) m
+    on contains(lower(genres), lower(genre))
+  join (select mid, avg(score) as "avg" from v_ratings group by mid) a on a.mid = m.mid)
+where rk <= 10"""
+
+ORACLES["kfold_fold_sets"] = f"""
+select event_id, uid, mid, part, row_number() over (partition by part, uid order by mid, event_id) pos
+from (select *, case when fold = 2 then 'test' else 'base' end part
+      from ({ORACLES["kfold_split"]}))"""
+
+ORACLES["last_rating_wins"] = with_(V_STREAM) + """
+select event_id, uid, mid, score, ts from (
+  select *, row_number() over (partition by uid, mid order by ts desc, event_id desc) r
+  from v_stream) where r = 1"""
+
+ORACLES["rmse_joined_predictions"] = with_(V_RATINGS).rstrip() + """,
+a as (select mid, avg(score) p from v_ratings group by mid),
+j as (select r.score, a.p from v_ratings q join a on a.mid = q.mid
+      join v_ratings r on r.uid = q.uid and r.mid = q.mid)
+select floor(1000000*sqrt(sum((score-p)*(score-p))/count(*)) + 0.5::double)/1000000 rmse,
+       floor(1000000*sqrt(sum((score-p)*(score-p))/count(p)) + 0.5::double)/1000000 rmse_joined,
+       count(*) n_test, count(*) - count(p) n_missing from j"""
+
+
+def _damped(train: str, test: str) -> str:
+    """RMSE of every setting on a part, as ``d_<part>``; needs CTE s (split)."""
+    values = ", ".join(f"({a}::double, {b}::double)" for a, b in DAMPINGS)
+    return f"""
+mu as (select avg(score) m from s where split = '{train}'),
+di as (select mid, sum(score - m) si, count(*)::double ni from s cross join mu
+       where split = '{train}' group by mid),
+du as (select uid, sum(score - m) su, count(*)::double nu from s cross join mu
+       where split = '{train}' group by uid),
+o(a, b) as (values {values}),
+d_{test} as (
+  select a, b, sqrt(avg(power(score - (m + coalesce(si, 0)/(coalesce(ni, 0) + a)
+                                         + coalesce(su, 0)/(coalesce(nu, 0) + b)), 2))) rmse,
+         count(*) n
+  from s cross join mu cross join o left join di on di.mid = s.mid left join du on du.uid = s.uid
+  where split = '{test}' group by a, b)"""
+
+
+def _split_cte(*bounds: tuple[str, float | None]) -> str:
+    cases = " ".join(f"when h < {b} then '{n}'" for n, b in bounds[:-1])
+    return f"""s as (select *, case {cases} else '{bounds[-1][0]}' end split from (
+  select *, cast('0x'||substr(md5(concat_ws('|', cast(uid as varchar), cast(mid as varchar),
+         cast(ts as varchar))),1,7) as bigint) / 268435456.0 h from v_ratings))"""
+
+
+_S3 = _split_cte(("train", 0.8), ("validation", 0.9), ("test", None))
+_S2 = _split_cte(("train", 0.8), ("test", None))
+_R6 = "floor(1000000*({}) + 0.5::double)/1000000"
+
+ORACLES["damped_sweep"] = (with_(V_RATINGS).rstrip() + ",\n" + _S3 + ","
+    + _damped("train", "validation")
+    + f"\nselect a item_damping, b user_damping, {_R6.format('rmse')} rmse, n from d_validation")
+
+
+def _best(chosen: str, scored: str) -> str:
+    return f"""
+best as (select * from d_{chosen} order by round(rmse, 9), a, b limit 1)
+select best.a item_damping, best.b user_damping, {_R6.format('best.rmse')} valid_rmse,
+       {_R6.format('t.rmse')} rmse, t.n from best join d_{scored} t on t.a = best.a and t.b = best.b"""
+
+
+_TEST = _damped("train", "test")
+ORACLES["damped_grid_best"] = (with_(V_RATINGS).rstrip() + ",\n" + _S3 + ","
+    + _damped("train", "validation") + "," + _TEST[_TEST.index("d_test as"):] + ","
+    + _best("validation", "test"))
+ORACLES["damped_two_way"] = (with_(V_RATINGS).rstrip() + ",\n" + _S2 + "," + _TEST + ","
+    + _best("test", "test"))
+
+ORACLES["stream_recs_ordered"] = f"""
+select *, row_number() over (partition by uid order by score desc, mid) rk
+from ({STREAM_RECS_SQL})"""
+ORACLES["stream_recs_messages"] = STREAM_RECS_SQL
+ORACLES["stream_quarantine"] = with_(V_STREAM) + """
+select concat_ws('|', uid, 'no item', score, ts, event_id) line, 'bad number' reason
+from v_stream where event_id % 7 = 0"""
+
+ORACLES["als_input"] = with_(V_RATINGS) + "select uid, mid, score from v_ratings"
+
+
+def _best_products(k: int, where: str = "true") -> str:
+    return f"""(
+  select a, b, floor(1000000*s + 0.5::double)/1000000 score, rk from (
+    select a, b, s, row_number() over (partition by a order by s desc, b) rk from (
+      select x.vec_id::int a, y.vec_id::int b,
+             list_dot_product(x.embedding::double[], y.embedding::double[]) s
+      from embeddings x cross join embeddings y where {where})) where rk <= {k})"""
+
+
+ORACLES["factor_user_recs"] = f"""
+select a uid, rk, b mid, score from {_best_products(20)} where score > 0"""
+ORACLES["factor_recs_for_users"] = with_(V_STREAM, V_MOVIES) + f"""
+select a uid, rk, b mid, score, name
+from {_best_products(10, "x.vec_id in (select uid from v_stream)")} left join v_movies on mid = b"""
+ORACLES["factor_recs_for_items"] = with_(V_TAGS, V_MOVIES) + f"""
+select a mid, rk, b uid, score, name
+from {_best_products(10, "x.vec_id in (select mid from v_tags)")} left join v_movies on mid = a"""
+ORACLES["factor_predictions"] = with_(V_STREAM) + """
+select event_id, uid, mid, floor(1000000*list_dot_product(x.embedding::double[], y.embedding::double[])
+       + 0.5::double)/1000000 prediction
+from v_stream left join embeddings x on x.vec_id = uid left join embeddings y on y.vec_id = mid"""

@@ -19,8 +19,9 @@ from recspark.operators import (content, evaluate, factors, rerank, similarity,
                                 stats, topk)
 from recspark.operators import tags as tagops
 from recspark.plans import views
-from recspark.plans.oracle import GENRE_TEST_LIST
-from recspark.schema import INTERACTIVE_ALS, OFFLINE_ALS
+from recspark.plans.oracle import DAMPINGS, GENRE_TEST_LIST
+from recspark.schema import (DEFAULT_GENRES, INTERACTIVE_ALS, INTERACTIVE_K, MOVIE_FIELDS,
+                             OFFLINE_ALS)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -69,6 +70,29 @@ def genre_top_n_token(spark, d):
                              GENRE_TEST_LIST, k=10, match="token")
 
 
+@query("genre_top_n_defaults")
+def genre_top_n_defaults(spark, d):
+    """J3, F5, W1 over the default genre list."""
+    return stats.genre_top_n(views.movies_with_default_genres(spark, d),
+                             stats.item_average(views.ratings(spark, d)), DEFAULT_GENRES)
+
+
+@query("item_popularity_ordered")
+def item_popularity_ordered(spark, d):
+    """A1, O1: the position of every item in the order count desc, mid."""
+    pop = stats.item_popularity(views.ratings(spark, d))
+    place = F.shiftleft(-F.col("count"), 32) + F.col("mid")
+    ranked, _ = splits.dense_positions(pop.withColumn("_place", place), "_place", "pos")
+    return ranked.select((F.col("pos") + 1).cast("bigint").alias("pos"), "mid", "count")
+
+
+@query("item_popularity_by_month_ordered")
+def item_popularity_by_month_ordered(spark, d):
+    """A2, O2: the position of every item in its month, count desc, mid."""
+    pop = stats.item_popularity_by_month(views.ratings(spark, d))
+    return topk.top_k_per_key(pop, "yearmonth", [F.desc("count"), F.asc("mid")], None, "pos")
+
+
 @query("items_with_tags")
 def items_with_tags(spark, d):
     """A4, J2, P3."""
@@ -106,21 +130,27 @@ def similarity_long_form(spark, d):
 
 @query("content_similar_items")
 def content_similar_items(spark, d):
-    """P4, exact TF-IDF, V3 over distinct genre strings, expansion, W3."""
-    return content.content_similar_items(views.movies(spark, d), floor=0.6, k=20, digits=6)
+    """P4, exact TF-IDF, V3 over distinct term lists, expansion, W3."""
+    return content.content_similar_items(views.movies(spark, d), 20, floor=0.6, digits=6)
 
 
 @query("content_similar_items_all")
 def content_similar_items_all(spark, d):
-    """Every item above the 0.6 floor, ranked, no cut (the original list)."""
-    return content.content_similar_items(views.movies(spark, d), floor=0.6, k=None, digits=6)
+    """W4, factored: every pair of groups above the 0.6 floor, uncut."""
+    return content.similar_groups(views.movies(spark, d), floor=0.6, digits=6)
+
+
+@query("content_group_members")
+def content_group_members(spark, d):
+    """W4, factored: the group of every item."""
+    return content.group_members(views.movies(spark, d))
 
 
 @query("content_similar_items_hashed")
 def content_similar_items_hashed(spark, d):
-    """V2, V4, V5 (Spark ML Tokenizer/HashingTF(50)/IDF), V3 - rows only."""
-    return content.content_similar_items(views.movies(spark, d), floor=0.6, k=20,
-                                         digits=6, hashed=True)
+    """V2, V4, V5 (Spark ML HashingTF(50) / IDF), V3, W3."""
+    return content.content_similar_items(views.movies(spark, d), 20, floor=0.6, digits=6,
+                                         hashed=True)
 
 
 # --- splits and evaluation ------------------------------------------------------
@@ -166,21 +196,76 @@ def split_summary(spark, d):
                  F.countDistinct("mid").alias("n_items")))
 
 
+@query("kfold_fold_sets")
+def kfold_fold_sets(spark, d):
+    """Base and test of fold 2; a row's place in the order of its user."""
+    ev = views.stream_events(spark, d).select("event_id", "uid", "mid")
+    base, test = splits.kfold_sets(splits.kfold_assign(ev, "event_id", k=5), 2)
+    both = base.withColumn("part", F.lit("base")).unionByName(
+        test.withColumn("part", F.lit("test")))
+    return topk.top_k_per_key(both, ["part", "uid"], [F.asc("mid"), F.asc("event_id")], None, "pos")
+
+
+@query("last_rating_wins")
+def last_rating_wins(spark, d):
+    """A11 on rows with duplicates: each user's newest rating of an item."""
+    return topk.dedupe_last_wins(views.stream_events(spark, d), ["uid", "mid"],
+                                 rerank.event_order())
+
+
 @query("rmse_item_mean")
 def rmse_item_mean(spark, d):
-    """Item-mean predictor scored on all ratings."""
-    r = views.ratings(spark, d)
-    return evaluate.rmse_report(evaluate.item_mean_predictions(r, r), digits=6)
+    """Item-mean predictor scored on all ratings, one scan."""
+    every = F.lit(True)
+    return evaluate.item_mean_rmse(views.ratings(spark, d), every, every, digits=6)
+
+
+def _two_way(spark, d):
+    return splits.hash_split(views.ratings(spark, d), ["uid", "mid", "ts"], [0.8, 0.2],
+                             ["train", "test"])
 
 
 @query("rmse_item_mean_split")
 def rmse_item_mean_split(spark, d):
-    """Item means from an 8:2 hash split; unseen test items count."""
-    r = splits.hash_split(views.ratings(spark, d), ["uid", "mid", "ts"], [0.8, 0.2],
-                          ["train", "test"])
-    train = r.where("split = 'train'")
-    test = r.where("split = 'test'")
-    return evaluate.rmse_report(evaluate.item_mean_predictions(train, test), digits=6)
+    """Item means from an 8:2 hash split; unseen test items count."""
+    return evaluate.item_mean_rmse(_two_way(spark, d), F.col("split") == "train",
+                                   F.col("split") == "test", digits=6)
+
+
+@query("rmse_joined_predictions")
+def rmse_joined_predictions(spark, d):
+    """J6 as a join on (uid, mid), where repeated pairs multiply, then A8."""
+    r = views.ratings(spark, d)
+    predicted = evaluate.item_mean_predictions(r, r)
+    return evaluate.rmse_report(evaluate.join_predictions(predicted, r), digits=6)
+
+
+def _three_parts(spark, d):
+    r = splits.hash_split(views.ratings(spark, d), ["uid", "mid", "ts"], [0.8, 0.1, 0.1],
+                          ["train", "validation", "test"])
+    return [r.where(F.col("split") == p) for p in ("train", "validation", "test")]
+
+
+@query("damped_sweep")
+def damped_sweep(spark, d):
+    """One validation RMSE per setting of the closed-form predictor."""
+    train, valid, _ = _three_parts(spark, d)
+    out = evaluate.damped_scores(train, valid, DAMPINGS)
+    return out.withColumn("rmse", evaluate.round_half_up("rmse", 6))
+
+
+@query("damped_grid_best")
+def damped_grid_best(spark, d):
+    """The best setting on validation, scored on test."""
+    return evaluate.best_damping(*_three_parts(spark, d), DAMPINGS, digits=6)
+
+
+@query("damped_two_way")
+def damped_two_way(spark, d):
+    """The grid over a U2 split, scored where it was chosen."""
+    r = _two_way(spark, d)
+    train, test = (r.where(F.col("split") == p) for p in ("train", "test"))
+    return evaluate.best_damping(train, test, test, DAMPINGS, digits=6)
 
 
 # --- re-ranking -------------------------------------------------------------------
@@ -213,6 +298,15 @@ def stream_recs_batch(spark, d):
                                         gate=0.2, digits=6)
 
 
+@query("stream_recs_ordered")
+def stream_recs_ordered(spark, d):
+    """O3: the position of every item in its user's nested list."""
+    ev = views.stream_events(spark, d)
+    scores = rerank.recommend_from_events(ev, _vector_sims(spark, d), views.ratings(spark, d),
+                                          gate=0.2, digits=6)
+    return topk.explode_recs(rerank.nest_user_recs(ev, scores), "uid", item_alias="mid")
+
+
 # --- sources: text formats written from the views and parsed back ----------------
 
 def _round_trip_text(spark, name, lines_df):
@@ -227,14 +321,15 @@ def _s(c):
 
 @query("parse_movie_text")
 def parse_movie_text(spark, d):
-    """S1, X1, X2: '^'-separated movie lines with padded fields -> typed movies."""
+    """S1, X1, X2: '^'-separated movie lines, all ten fields padded with blanks
+    and tabs -> typed movies."""
     m = views.movies(spark, d)
-    line = F.concat_ws("^", _s("mid"), F.concat(F.lit("  "), _s("name"), F.lit(" ")),
-                       F.lit(""), F.lit(""), F.lit(""), F.lit(""), F.lit(""),
-                       F.concat(F.lit(" "), _s("genres")), F.lit(""), F.lit(""))
+    filled = {"mid": _s("mid"), "name": _s("name"), "genres": _s("genres")}
+    fields = [filled.get(f, F.concat(F.lit(f"{f} of "), _s("mid"))) for f in MOVIE_FIELDS]
+    line = F.concat_ws("^", *[F.concat(F.lit(" \t"), c, F.lit("\t ")) for c in fields])
     path = _round_trip_text(spark, "movies-text", m.select(line.alias("value")))
     good, _bad = sources.read_movies_text(spark, path)
-    return good.select("mid", "name", "genres")
+    return good
 
 
 @query("parse_ratings_csv")
@@ -285,18 +380,13 @@ def parse_rating_messages(spark, d):
 @query("parse_recent_lists")
 def parse_recent_lists(spark, d):
     """S8 (encoded), X8: per-user lists 'uid:<uid>' -> ['MID:SCORE', ...] built
-    from the events, newest first, then read back: the first 20 entries.
-
-    The lists are written trimmed to 40 entries, as a list store keeps them,
-    so no user's whole history is gathered into one row.
-    """
+    from the events, newest first, then read back: the first 20 entries."""
     ev = views.stream_events(spark, d)
-    ranked = topk.top_k_per_key(ev, "uid", rerank.event_order(), 40, "rn")
-    lists = (ranked.groupBy("uid")
-             .agg(F.array_sort(F.collect_list(F.struct("rn", sources.encode_recent_item())))
-                  .alias("_l"))
+    newest = F.struct((-F.col("ts")).alias("t"), (-F.col("event_id")).alias("e"),
+                      sources.encode_recent_item().alias("item"))
+    lists = (ev.groupBy("uid").agg(F.array_sort(F.collect_list(newest)).alias("_l"))
              .select(sources.recent_list_key(F.col("uid").cast("string")).alias("key"),
-                     F.col("_l.col2").alias("items")))
+                     F.col("_l.item").alias("items")))
     return sources.parse_recent_lists(lists, k=20)[0]
 
 
@@ -319,7 +409,7 @@ def sink_keyed_docs(spark, d):
     """K2: movies with tags as JSON documents keyed by mid, read back."""
     docs = tagops.items_with_tags(views.movies(spark, d), views.tags(spark, d))
     path = scratch_path(spark, "keyed-docs")
-    sources.write_keyed_docs(docs, "mid", path, "json")
+    sources.write_keyed_docs(docs, "mid", path, [F.asc("name"), F.asc("genres"), F.asc("tags")])
     schema = "mid int, name string, genres string, tags string"
     return spark.read.schema(schema).json(path)
 
@@ -348,97 +438,165 @@ def sink_upsert(spark, d):
     return topk.explode_recs(latest, "uid", item_alias="mid", rank_col=None)
 
 
+def _lookups(spark, d):
+    """Similar items and rated items as clustered tables: two readers."""
+    sims_path, seen_path = scratch_path(spark, "sims"), scratch_path(spark, "seen")
+    sources.write_clustered(_vector_sims(spark, d), sims_path, "mid")
+    sources.write_clustered(views.ratings(spark, d).select("uid", "mid"), seen_path, "uid")
+    return lambda: spark.read.parquet(sims_path), lambda: spark.read.parquet(seen_path)
+
+
+#: Rows of a replayed event file, and files of a micro-batch.
+EVENTS_PER_FILE = 25_000
+FILES_PER_BATCH = 4
+
+
 @query("stream_recs")
 def stream_recs(spark, d):
-    """T1-T6 end to end: events replayed as 4 files, one micro-batch each,
-    through recent-K state, foreachBatch re-ranking and the upsert log."""
+    """Events replayed from files, as many as their rows need, through
+    recent-K state, foreachBatch re-ranking and the upsert log."""
     from recspark.streaming.recommender import StreamRecommender, file_rating_events
     ev_path = scratch_path(spark, "events")
-    (views.stream_events(spark, d).repartitionByRange(4, "event_id")
-     .write.mode("overwrite").parquet(ev_path))
-    sims_path = scratch_path(spark, "sims")
-    sources.write_clustered(_vector_sims(spark, d), sims_path, "mid")
-    seen_path = scratch_path(spark, "seen")
-    sources.write_clustered(views.ratings(spark, d).select("uid", "mid"), seen_path, "uid")
-    rec = StreamRecommender(lambda: spark.read.parquet(sims_path),
-                            lambda: spark.read.parquet(seen_path),
-                            scratch_path(spark, "stream-recs"), gate=0.2, digits=6)
-    q = rec.start(file_rating_events(spark, ev_path, max_files_per_trigger=1),
+    (views.stream_events(spark, d).write.option("maxRecordsPerFile", EVENTS_PER_FILE)
+     .mode("overwrite").parquet(ev_path))
+    sims, seen = _lookups(spark, d)
+    rec = StreamRecommender(sims, seen, scratch_path(spark, "stream-recs"), gate=0.2, digits=6)
+    q = rec.start(file_rating_events(spark, ev_path, max_files_per_trigger=FILES_PER_BATCH),
                   checkpoint=scratch_path(spark, "stream-ckpt"),
                   trigger={"availableNow": True})
     q.awaitTermination()
-    latest = rec.read_recs(spark)
-    return topk.explode_recs(latest, "uid", item_alias="mid", rank_col=None)
+    return topk.explode_recs(rec.read_recs(spark), "uid", item_alias="mid", rank_col=None)
 
 
-# --- factor models (rows-only checks) -------------------------------------------
+def _message_stream(spark, d):
+    """Messages of all events, every seventh followed by a broken one, through
+    the stream; returns (recommender, quarantine path)."""
+    from recspark.streaming.recommender import StreamRecommender, text_rating_events
+    ev = views.stream_events(spark, d)
+    line = F.concat_ws("|", *[_s(c) for c in ("uid", "mid", "score", "ts", "event_id")])
+    broken = F.concat_ws("|", _s("uid"), F.lit("no item"), _s("score"), _s("ts"), _s("event_id"))
+    lines = ev.select(line.alias("value")).union(
+        ev.where("event_id % 7 = 0").select(broken.alias("value")))
+    path = scratch_path(spark, "messages")
+    lines.write.option("maxRecordsPerFile", EVENTS_PER_FILE).text(path)
+    good, bad = text_rating_events(spark, path, max_files_per_trigger=FILES_PER_BATCH)
+    sims, seen = _lookups(spark, d)
+    rec = StreamRecommender(sims, seen, scratch_path(spark, "stream-recs"), gate=0.2, digits=6)
+    aside = scratch_path(spark, "quarantine")
+    now = {"availableNow": True}
+    queries = [rec.start(good, checkpoint=scratch_path(spark, "stream-ckpt"), trigger=now),
+               rec.start_quarantine(bad, aside, scratch_path(spark, "bad-ckpt"), trigger=now)]
+    for q in queries:
+        q.awaitTermination()
+    return rec, aside
+
+
+@query("stream_recs_messages")
+def stream_recs_messages(spark, d):
+    """S9, T1-T6 end to end: message text -> parse -> state -> recommendations."""
+    rec, _ = _message_stream(spark, d)
+    return topk.explode_recs(rec.read_recs(spark), "uid", item_alias="mid", rank_col=None)
+
+
+@query("stream_quarantine")
+def stream_quarantine(spark, d):
+    """The messages that went aside, with the reason."""
+    _, aside = _message_stream(spark, d)
+    return spark.read.schema("line string, reason string").parquet(aside)
+
 
-_MODELS: dict = {}
+# --- scoring with given factors ----------------------------------------------------
 
+def _factors(spark, d):
+    """Factor rows (id, vector) made of the embeddings."""
+    return views.embeddings(spark, d).select(F.col("mid").alias("id"),
+                                             F.col("features").alias("vector"))
 
-def _model(spark, d, rank, max_iter, reg_param):
-    """One fitted model per (session, data, setting) within this process."""
-    key = (id(spark), d, rank, max_iter, reg_param)
-    if key not in _MODELS:
-        _MODELS[key] = factors.fit_als(views.ratings(spark, d), rank, max_iter, reg_param)
-    return _MODELS[key]
 
+def _rounded(df, col="score"):
+    return df.withColumn(col, evaluate.round_half_up(col, 6))
 
-def _offline(spark, d):
-    return _model(spark, d, OFFLINE_ALS["rank"], OFFLINE_ALS["max_iter"],
-                  OFFLINE_ALS["reg_param"])
 
+@query("als_input")
+def als_input(spark, d):
+    """What a fit reads."""
+    return factors.als_input(views.ratings(spark, d))
 
-def _interactive(spark, d):
-    return _model(spark, d, INTERACTIVE_ALS["rank"], INTERACTIVE_ALS["max_iter"],
-                  INTERACTIVE_ALS["reg_param"])
+
+@query("factor_user_recs")
+def factor_user_recs(spark, d):
+    """The 20 best items of every user vector, positive scores only."""
+    f = _factors(spark, d)
+    return _rounded(factors.best_matches(f, f, 20, positive=True)).select(
+        F.col("id").cast("int").alias("uid"), "rk", F.col("other").cast("int").alias("mid"), "score")
+
+
+@query("factor_recs_for_users")
+def factor_recs_for_users(spark, d):
+    """The ten best items of users with an event, with titles."""
+    f = _factors(spark, d)
+    return _rounded(factors.recs_for(f, f, views.stream_events(spark, d).select("uid"), "uid",
+                                     "mid", views.movies(spark, d), INTERACTIVE_K))
+
+
+@query("factor_recs_for_items")
+def factor_recs_for_items(spark, d):
+    """The ten best users of tagged items, with titles."""
+    f = _factors(spark, d)
+    return _rounded(factors.recs_for(f, f, views.tags(spark, d).select("mid"), "mid", "uid",
+                                     views.movies(spark, d), INTERACTIVE_K))
+
+
+@query("factor_predictions")
+def factor_predictions(spark, d):
+    """V7: predictions for rating events; NULL where an id has no vector."""
+    f = _factors(spark, d)
+    ev = views.stream_events(spark, d).select("event_id", "uid", "mid")
+    return _rounded(factors.predict_pairs(f, f, ev), "prediction")
+
+
+# --- factor models (rows-only checks) -------------------------------------------
+
+def _fitted(spark, d, setting):
+    return factors.fit_als(views.ratings(spark, d), setting["rank"], setting["max_iter"],
+                           setting["reg_param"])
 
 
 @query("als_user_recs")
 def als_user_recs(spark, d):
     """Rank 200 / 5 iterations / 0.1, top 20 items per user."""
-    return factors.user_recs(_offline(spark, d), 20)
+    return factors.user_recs(_fitted(spark, d, OFFLINE_ALS), 20)
 
 
 @query("als_item_similar")
 def als_item_similar(spark, d):
     """Items with factor cosine > 0.6, best 20 each."""
-    return factors.item_similar(_offline(spark, d), floor=0.6, k=20)
+    return factors.item_similar(_fitted(spark, d, OFFLINE_ALS), floor=0.6, k=20)
 
 
 @query("als_recs_for_users")
 def als_recs_for_users(spark, d):
     """Top 10 items with titles for every user with a rating event."""
-    users = views.stream_events(spark, d).select("uid")
-    return factors.recs_for_users(_interactive(spark, d), users, views.movies(spark, d))
+    return factors.recs_for_users(_fitted(spark, d, INTERACTIVE_ALS),
+                                  views.stream_events(spark, d).select("uid"),
+                                  views.movies(spark, d))
 
 
 @query("als_recs_for_items")
 def als_recs_for_items(spark, d):
     """Top 10 users for every tagged item, with the item title."""
-    items = views.tags(spark, d).select("mid")
-    return factors.recs_for_items(_interactive(spark, d), items, views.movies(spark, d))
-
-
-def _three_way(spark, d):
-    r = splits.hash_split(views.ratings(spark, d), ["uid", "mid", "ts"], [0.8, 0.1, 0.1],
-                          ["train", "validation", "test"])
-    return (r.where("split = 'train'"), r.where("split = 'validation'"),
-            r.where("split = 'test'"))
+    return factors.recs_for_items(_fitted(spark, d, INTERACTIVE_ALS),
+                                  views.tags(spark, d).select("mid"), views.movies(spark, d))
 
 
 @query("als_param_sweep")
 def als_param_sweep(spark, d):
-    """One-parameter sweeps on an 8:1:1 split (short value lists)."""
-    train, valid, _ = _three_way(spark, d)
-    return evaluate.param_sweep(train, valid, ranks=[5, 10], iterations=[5, 10],
-                                lambdas=[0.1, 1.0], fixed=dict(rank=10, max_iter=5,
-                                                                reg_param=0.1))
+    """The 16 settings of the one-parameter sweeps on an 8:1:1 split."""
+    train, valid, _ = _three_parts(spark, d)
+    return evaluate.param_sweep(train, valid)
 
 
 @query("als_grid_best")
 def als_grid_best(spark, d):
-    """2x2x2 grid, refit the best, RMSE on the test part."""
-    train, valid, test = _three_way(spark, d)
-    return evaluate.train_validate_test(train, valid, test, ranks=[5, 10],
-                                        iterations=[5, 10], lambdas=[0.1, 1.0])
+    """The 125 settings, refit of the best, RMSE on the test part."""
+    return evaluate.train_validate_test(*_three_parts(spark, d))

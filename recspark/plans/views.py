@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recspark.functions import epoch_seconds
+from recspark.schema import DEFAULT_GENRES
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,6 +40,16 @@ def movies(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.split_part("p_name", F.lit(" "), F.lit(2))).alias("genres"))
 
 
+def movies_with_default_genres(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(mid, name, genres): two genres of the default list, by the item's id."""
+    names = F.array(*[F.lit(g) for g in DEFAULT_GENRES])
+    mid = F.col("p_partkey").cast("int")
+    pick = lambda n: F.get(names, F.pmod(mid * n, F.lit(len(DEFAULT_GENRES))))
+    return table(spark, sf_dir, "part").select(
+        mid.alias("mid"), F.col("p_name").alias("name"),
+        F.concat_ws("|", pick(1), pick(7)).alias("genres"))
+
+
 def _props_k():
     return F.get_json_object("props", "$.k").cast("int")
 

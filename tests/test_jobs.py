@@ -44,7 +44,7 @@ def test_jobs_end_to_end(spark):
     ur = spark.read.parquet(f"{out}/UserRecs")
     assert ur.schema["recs"].dataType == RECS and ur.count() > 0
 
-    jobs.content(movies, out)
+    jobs.content(movies, out, k=20)
     cr = spark.read.parquet(f"{out}/ContentMovieRecs").collect()
     assert cr and all(x.score > 0.6 for r in cr for x in r.recs)
 

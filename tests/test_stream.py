@@ -54,20 +54,73 @@ def test_stream_equals_batch_and_restarts(spark):
     assert _flat(got) == _flat(want)
 
 
-def test_restrict_pushdown_and_fallback(spark):
-    table = spark.createDataFrame([(i, i * 10) for i in range(50)], "uid int, v int")
-    keys = spark.createDataFrame([(3,), (7,), (7,), (49,)], "uid int")
-    rec = StreamRecommender(table, table, "/unused", max_pushdown_keys=3)
-    vals = rec._keys(keys, ["uid"])
-    assert sorted(r[0] for r in vals) == [3, 7, 49]
-    pushed = rec._restrict(table, "uid", keys, [r[0] for r in vals])
-    assert "In(uid" in pushed._jdf.queryExecution().executedPlan().toString() or \
-        sorted(r.uid for r in pushed.collect()) == [3, 7, 49]
-    assert sorted(r.uid for r in pushed.collect()) == [3, 7, 49]
-    rec.max_pushdown_keys = 2
-    assert rec._keys(keys, ["uid"]) is None
-    semi = rec._restrict(table, "uid", keys, None)
-    assert sorted(r.uid for r in semi.collect()) == [3, 7, 49]
+def test_lookup_reads_the_folders_of_its_keys(spark):
+    from recspark import sources
+    root = tempfile.mkdtemp(prefix="recspark-lookup-")
+    table = spark.range(5000).select(F.col("id").cast("int").alias("uid"),
+                                     (F.col("id") * 10).alias("v"))
+    # a third of the rows on one key
+    table = table.union(spark.range(2500).select(F.lit(7), F.col("id")))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sources.write_clustered(table, f"{root}/t", "uid")
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    stored = spark.read.parquet(f"{root}/t")
+    keys = spark.createDataFrame([(3,), (7,), (7,), (4999,), (None,)], "uid int")
+    got = sources.rows_of_keys(stored, "uid", keys)
+    assert got.columns == ["uid", "v"]
+    want = table.where("uid in (3, 7, 4999)")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    # the hot key's folder holds several files, none with all of its rows
+    sizes = stored.where("uid = 7").groupBy(F.input_file_name()).count().collect()
+    assert len(sizes) > 1
+    plain = sources.rows_of_keys(table, "uid", keys)
+    assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_cut_before_the_state_keeps_the_newest():
+    import pandas as pd
+    from recspark.streaming.recommender import cut_recent
+    f = pd.DataFrame({"uid": [1] * 50 + [2, 2], "ts": [*range(50), 5, 5],
+                      "event_id": range(52)})
+    out = pd.concat(cut_recent(3)([f]))
+    assert sorted(out["event_id"]) == [47, 48, 49, 50, 51]
+
+
+def test_hot_user_null_fields_and_processing_time(spark):
+    """A third of the events on one user, rows with NULL fields, a timed trigger."""
+    import time
+    from recspark.streaming.recommender import valid_events
+    root = tempfile.mkdtemp(prefix="recspark-hot-")
+    rows = [(i, 1 if i % 3 == 0 else i % 20, i % 15, float(i % 5 + 1), 1000 + i // 4)
+            for i in range(600)]
+    schema = "event_id long, uid int, mid int, score double, ts int"
+    broken = [(900, None, 3, 1.0, 5000), (901, 4, None, 1.0, 5000), (902, 4, 3, None, 5000),
+              (903, 4, 3, 1.0, None), (None, 4, 3, 1.0, 5000)]
+    ev = spark.createDataFrame(rows, schema)
+    ev.union(spark.createDataFrame(broken, schema)).repartition(3).write.parquet(f"{root}/events")
+    sims = spark.createDataFrame([(a, b, 0.9 - 0.01 * abs(a - b)) for a in range(15)
+                                  for b in range(40) if a != b], "mid int, sim_mid int, score double")
+    seen = spark.createDataFrame([(u, m) for u in range(20) for m in range(3)], "uid int, mid int")
+    rec = StreamRecommender(sims, seen, f"{root}/recs", gate=0.2, digits=6)
+    stream = file_rating_events(spark, f"{root}/events", schema, 1)
+    q = rec.start(stream, checkpoint=f"{root}/ckpt", trigger={"processingTime": "1 second"})
+    try:
+        for _ in range(120):
+            time.sleep(1)
+            assert q.exception() is None
+            done = sum(p["numInputRows"] for p in q.recentProgress)
+            if done >= 605:
+                break
+        assert done == 605
+    finally:
+        q.stop()
+    want = rerank.recommend_from_events(ev, sims, seen, gate=0.2, digits=6)
+    got = topk.explode_recs(rec.read_recs(spark), "uid", item_alias="mid", rank_col=None)
+    assert _flat(got) == _flat(want) and len(_flat(want)) > 0
+    _, bad = valid_events(spark.read.schema(schema).parquet(f"{root}/events"))
+    assert bad.count() == 5 and {r.reason for r in bad.collect()} == {"missing field"}
 
 
 def test_text_messages_and_quarantine_stream(spark):
