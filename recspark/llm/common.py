@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
@@ -64,3 +65,30 @@ def text_chunks(batch: pa.RecordBatch, column: str = "text",
             start, held = i + 1, 0
     if start < batch.num_rows:
         yield batch.slice(start)
+
+
+def sorted_blocks(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...],
+                  step: int = 2048) -> Iterator[pa.RecordBatch]:
+    """The blocks of rows with equal ``keys`` of batches sorted by them; null
+    is no key.  Only the block at hand is held."""
+    rest: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        for at in range(0, batch.num_rows, step):
+            part = batch.slice(at, step)
+            cols = [part.column(k).to_numpy(zero_copy_only=False) for k in keys]
+            new = np.zeros(part.num_rows, bool)
+            first = tuple(c[0] for c in cols)
+            new[0] = last is not None and first != last
+            for c in cols:
+                new[1:] |= c[1:] != c[:-1]
+            start = 0
+            for stop in np.flatnonzero(new).tolist():
+                if stop > start:
+                    rest.append(part.slice(start, stop - start))
+                yield pa.Table.from_batches(rest).combine_chunks().to_batches()[0]
+                rest, start = [], stop
+            rest.append(part.slice(start))
+            last = tuple(c[-1] for c in cols)
+    if rest:
+        yield pa.Table.from_batches(rest).combine_chunks().to_batches()[0]

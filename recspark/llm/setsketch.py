@@ -14,12 +14,17 @@ candidate search.  Pairs of a band are screened by the joint maximum-likelihood
 estimate of the similarity from both sketches and both exact set sizes, then
 confirmed on the full sets.
 
-Copies and groups.  Equal sets are one class, found by a 128-bit digest.  In
-each band the smallest class is paired with all others (a number of pairs
-linear in the band), links give components, and only bands that still hold more
-than one component are searched again, for pairs across components.  So a group
-of thousands of copies never becomes all its pairs, and no link between two
-different components of a band is left out.
+Copies and groups.  Equal sets are one class, found by a 128-bit digest.  Only
+classes that share a band with another one go on.  In each band one class, the
+center, is paired with those of other components: a number of pairs linear in
+the band.  After the first round (the smallest class is the center) come
+``ROUNDS`` more with centers drawn by hash, in bands that still hold several
+components.  What is left, pairs across components of a band, is compared inside
+tasks in blocks of ``BLOCK`` rows a side: a first pass screens by the sketches
+and keeps the rows that have a candidate, a second one takes their full sets,
+compares, and returns links.  A pair that shares several bands counts in the
+first.  So a group of thousands of copies never becomes all its pairs, and no
+link between two components of a band is left out.
 
 Defined results: documents without a word (null, empty) have an empty set, link
 with nothing and are their own component; a row without an id links with
@@ -35,10 +40,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from recspark.llm.common import materialize, text_chunks
+from recspark.llm.common import materialize, sorted_blocks, text_chunks
 from recspark.llm.components import connected_components
 from recspark.llm.text_arrays import Texts, mix
 
@@ -51,9 +56,16 @@ RATE = 20.0
 Q = 65534
 #: Registers in a band: 51 bands find a pair at 0.75 with probability 1 - 1e-6.
 ROWS = 5
-#: A pair is verified unless its estimate is lower than the threshold by six
-#: standard errors of 256 registers, 6 * sqrt(0.75 * 0.25 / 256).
-MARGIN = 6 * (0.75 * 0.25 / REGISTERS) ** 0.5
+#: A pair is verified unless its estimate is lower than the threshold by 4.5
+#: standard errors of 256 registers; a pair at the threshold is lost by that
+#: with probability 3e-6.
+MARGIN = 4.5 * (0.75 * 0.25 / REGISTERS) ** 0.5
+#: Rounds with centers drawn by hash, after the round with the smallest class.
+ROUNDS = 1
+#: The estimate a pair must reach to be verified.
+LEAST = THRESHOLD_PERCENT / 100 - MARGIN
+#: Rows of a side of a block of pairs.
+BLOCK = 256
 
 _U = np.uint64
 _STEP = _U(0x9E3779B97F4A7C15)
@@ -102,35 +114,52 @@ def band_keys(registers: np.ndarray, rows: int = ROWS) -> np.ndarray:
     return key.view(np.int64)
 
 
+def _chances(j, n_a: np.ndarray, n_b: np.ndarray):
+    """Of a register: the chances that a's is larger, that b's is larger, and
+    their derivatives by j."""
+    u = n_a / (n_a + n_b)
+    v = 1 - u
+    f = (BASE - 1) / BASE
+    x, y = np.clip(u - v * j, 1e-12, 1), np.clip(v - u * j, 1e-12, 1)
+    log_b = np.log(BASE)
+    return (-np.log1p(-x * f) / log_b, -np.log1p(-y * f) / log_b,
+            -v * f / (1 - x * f) / log_b, -u * f / (1 - y * f) / log_b)
+
+
+def _counts(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    larger, smaller = (a > b).sum(1), (a < b).sum(1)
+    return larger, smaller, a.shape[1] - larger - smaller
+
+
 def estimate_jaccard(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray
                      ) -> np.ndarray:
     """Joint maximum-likelihood estimate for rows of registers and set sizes.
 
     With u = n_a / (n_a + n_b), v = 1 - u and p(x) = -log_B(1 - x (B-1) / B), a
     register of a is the larger with probability p(u - v J), of b with
-    p(v - u J).  The log-likelihood is concave in J; its maximum is bracketed by
-    golden sections on [0, min(u/v, v/u)].
+    p(v - u J).  The log-likelihood is concave in J; the sign of its slope
+    brackets the maximum on [0, min(n_a / n_b, n_b / n_a)].
     """
-    larger, smaller = (a > b).sum(1), (a < b).sum(1)
-    equal = a.shape[1] - larger - smaller
-    u = n_a / (n_a + n_b)
-    v = 1 - u
+    larger, smaller, equal = _counts(a, b)
+    lo, hi = np.zeros(len(n_a)), np.minimum(n_a / n_b, n_b / n_a)
+    for _ in range(30):
+        mid = (lo + hi) / 2
+        up = _slope(larger, smaller, equal, n_a, n_b, mid) >= 0
+        lo, hi = np.where(up, mid, lo), np.where(up, hi, mid)
+    return (lo + hi) / 2
 
-    def p(x):
-        return -np.log1p(-np.clip(x, 1e-12, 1) * (BASE - 1) / BASE) / np.log(BASE)
 
-    def likelihood(j):
-        up, down = p(u - v * j), p(v - u * j)
-        return (larger * np.log(up) + smaller * np.log(down)
-                + equal * np.log(np.clip(1 - up - down, 1e-12, 1)))
+def _slope(larger, smaller, equal, n_a, n_b, j) -> np.ndarray:
+    """Slope of the log-likelihood at j."""
+    p, q, dp, dq = _chances(j, n_a, n_b)
+    return larger * dp / p + smaller * dq / q - equal * (dp + dq) / np.clip(1 - p - q, 1e-12, 1)
 
-    lo, hi = np.zeros(len(u)), np.minimum(u / v, v / u)
-    g = (5 ** 0.5 - 1) / 2
-    for _ in range(30):
-        c, d = hi - g * (hi - lo), lo + g * (hi - lo)
-        left = likelihood(c) >= likelihood(d)
-        hi, lo = np.where(left, d, hi), np.where(left, lo, c)
-    return (lo + hi) / 2
+
+def estimate_reaches(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray,
+                     least: float) -> np.ndarray:
+    """Whether the estimate is ``least`` or more: the slope there isn't negative."""
+    return ((np.minimum(n_a, n_b) >= least * np.maximum(n_a, n_b))
+            & (_slope(*_counts(a, b), n_a, n_b, least) >= 0))
 
 
 def _sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -167,15 +196,14 @@ def _registers(column: pa.Array) -> np.ndarray:
 
 
 def _estimate_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    least = THRESHOLD_PERCENT / 100 - MARGIN
     for batch in batches:
         for at in range(0, batch.num_rows, 2000):
             part = batch.slice(at, 2000)
             n_a, n_b = (part.column(c).to_numpy(zero_copy_only=False).astype(float)
                         for c in ("n_a", "n_b"))
-            j = estimate_jaccard(_registers(part.column("r_a")), _registers(part.column("r_b")),
-                                 n_a, n_b)
-            yield part.select(["a", "b"]).filter(pa.array(j >= least))
+            ok = estimate_reaches(_registers(part.column("r_a")), _registers(part.column("r_b")),
+                                  n_a, n_b, LEAST)
+            yield part.select(["a", "b"]).filter(pa.array(ok))
 
 
 def _digest(s: np.ndarray) -> bytes | None:
@@ -189,8 +217,57 @@ def _set_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sets = Texts(part.column("text"), lower=True).shingle_sets(SHINGLE)
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id"), pa.array(map(_digest, sets), pa.binary()),
+                 pa.array([len(s) for s in sets], pa.int64()),
+                 pa.array([r.tobytes() for r in sketch_sets(sets)], pa.binary()),
                  pa.array([s.tobytes() for s in sets], pa.binary())],
-                ["rep", "digest", "shingles"])
+                ["rep", "digest", "n", "registers", "shingles"])
+
+
+def _block_pairs(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """Rows (i, j) of a block whose estimate passes: of different components,
+    meeting in this band first."""
+    comp, n, own, key = (b.column(c).to_numpy(zero_copy_only=False)
+                         for c in ("component", "n", "own", "key"))
+    reg = _registers(b.column("registers"))
+    bands = band_keys(reg)
+    p, q = b.column("p")[0].as_py(), b.column("q")[0].as_py()
+    left = np.flatnonzero(own == p)
+    right = left if p == q else np.flatnonzero(own == q)
+    small, large = (f(n[left][:, None], n[right]) for f in (np.minimum, np.maximum))
+    ok = (comp[left][:, None] != comp[right]) & (100 * small >= THRESHOLD_PERCENT * large)
+    i, j = np.nonzero(np.triu(ok, 1) if p == q else ok)
+    i, j = left[i], right[j]
+    kept = [np.zeros((2, 0), np.int64)]
+    for at in range(0, len(i), 8192):
+        x, y = i[at:at + 8192], j[at:at + 8192]
+        first = (bands[x] == bands[y]).argmax(axis=1)
+        here = bands[x, first] == key[0]
+        x, y = x[here], y[here]
+        good = estimate_reaches(reg[x], reg[y], n[x].astype(float), n[y].astype(float), LEAST)
+        kept.append(np.array([x[good], y[good]]))
+    return tuple(np.concatenate(kept, axis=1))
+
+
+def _open_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of a block that have a candidate in it."""
+    for block in sorted_blocks(batches, ("key", "p", "q")):
+        i, j = _block_pairs(block)
+        if len(i):
+            rows = np.unique(np.concatenate([i, j]))
+            yield block.take(pa.array(rows)).select(["rep", "key", "component", "own", "p", "q"])
+
+
+def _across_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The linked pairs (a, b) across components of a block."""
+    for block in sorted_blocks(batches, ("key", "p", "q")):
+        i, j = _block_pairs(block)
+        rep = block.column("rep").to_numpy(zero_copy_only=False)
+        sets = [np.frombuffer(x, _U) for x in block.column("shingles").to_pylist()]
+        good = np.array([linked(sets[x], sets[y]) for x, y in zip(i, j)], bool)
+        if good.any():
+            a, b = rep[i[good]], rep[j[good]]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
 
 
 def linked(a: np.ndarray, b: np.ndarray, percent: int = THRESHOLD_PERCENT) -> bool:
@@ -215,74 +292,102 @@ def _verify_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
-def _size_ok(n_a: str, n_b: str):
+def _size_ok(n_a: str, n_b: str) -> Column:
     """Sets whose sizes allow the threshold."""
-    return ((100 * F.least(n_a, n_b)) >= THRESHOLD_PERCENT * F.greatest(n_a, n_b))
+    return 100 * F.least(n_a, n_b) >= THRESHOLD_PERCENT * F.greatest(n_a, n_b)
 
 
-def _confirm(pairs: DataFrame, classes: DataFrame, docs: DataFrame, name: str) -> DataFrame:
+def _confirm(pairs: DataFrame, members: DataFrame, name: str) -> DataFrame:
     """The pairs (a, b) of classes that are linked: screened by their sketches,
-    then compared on full sets, made again from the texts of their documents."""
-    side = classes.select("rep", "n_shingles", "registers")
-    a, b = (side.toDF(x, f"n_{x}", f"r_{x}") for x in "ab")
+    then compared on full sets."""
+    a, b = (members.select(F.col("rep").alias(x), F.col("n").alias(f"n_{x}"),
+                           F.col("registers").alias(f"r_{x}")) for x in "ab")
     screened = materialize(
         pairs.join(a, "a").join(b, "b").where(_size_ok("n_a", "n_b"))
         .select("a", "b", "n_a", "n_b", "r_a", "r_b")
         .mapInArrow(_estimate_batches, "a long, b long"), f"{name}-screened")
-    needed = screened.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    sets = materialize(
-        docs.select("doc_id", "text").join(needed, "doc_id", "left_semi")
-        .mapInArrow(_set_batches, "rep long, digest binary, shingles binary")
-        .join(classes.select("rep", "digest"), ["rep", "digest"], "left_semi")
-        .dropDuplicates(["rep"]).select("rep", "shingles"), f"{name}-sets")
-    s_a, s_b = (sets.toDF(x, f"s_{x}") for x in "ab")
+    s_a, s_b = (members.select(F.col("rep").alias(x), F.col("shingles").alias(f"s_{x}"))
+                for x in "ab")
     return materialize(screened.join(s_b, "b").join(s_a, "a").select("a", "b", "s_a", "s_b")
                        .mapInArrow(_verify_batches, "a long, b long"), f"{name}-links")
 
 
+def _across(labelled: DataFrame, members: DataFrame) -> DataFrame:
+    """The linked pairs across components of a band, compared in blocks."""
+    keys = (labelled.groupBy("key").agg(
+        F.count(F.lit(1)).alias("rows"), F.min("component").alias("x"),
+        F.max("component").alias("y")).where("x <> y")
+        .select("key", F.ceil(F.col("rows") / BLOCK).cast("int").alias("parts")))
+    dealt = (labelled.join(keys, "key")
+             .withColumn("own", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int"))
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+             .select("rep", "key", "component", "own", F.least("own", "other").alias("p"),
+                     F.greatest("own", "other").alias("q")))
+
+    def in_blocks(rows: DataFrame) -> DataFrame:
+        return rows.repartition("key", "p", "q").sortWithinPartitions("key", "p", "q", "rep")
+
+    sketch = members.select("rep", "n", "registers")
+    row = "rep long, key long, component long, own int, p int, q int"
+    near = materialize(in_blocks(dealt.join(sketch, "rep")).mapInArrow(_open_batches, row), "near")
+    return materialize(in_blocks(near.join(members.drop("digest"), "rep"))
+                       .mapInArrow(_across_batches, "a long, b long"), "across-links")
+
+
+def _with_components(rows: DataFrame, links: DataFrame | None) -> DataFrame:
+    if links is None:
+        return rows.withColumn("component", F.col("rep"))
+    parts = connected_components(links).withColumnRenamed("id", "rep")
+    return materialize(rows.join(parts, "rep", "left").withColumn(
+        "component", F.coalesce("component", "rep")), "labelled")
+
+
+def _open_centers(labelled: DataFrame, order: Column) -> DataFrame:
+    """The center of each band that holds several components."""
+    one = F.struct(order.alias("o"), F.col("rep").alias("center"),
+                   F.col("component").alias("c_center"))
+    return (labelled.groupBy("key").agg(F.min(one).alias("m"), F.min("component").alias("x"),
+                                        F.max("component").alias("y"))
+            .where("x <> y").select("key", "m.center", "m.c_center"))
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every row of ``docs``."""
-    # One text stands for an id, also where rows repeat it.
     texts = docs.select(F.col("doc_id").cast("long"), "text")
     sketches = materialize(sketch_documents(texts), "sketches")
-    one = F.struct("digest", "n_shingles", "registers")
+    # One row per set, and per id where rows repeat it with other texts.
     classes = materialize(
         sketches.where("digest is not null and doc_id is not null").groupBy("digest")
-        .agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n_shingles"),
-             F.first("registers").alias("registers"))
-        .groupBy("rep").agg(F.min(one).alias("c")).select("rep", "c.*"), "classes")
-    bands = materialize(classes.select("rep", "registers").mapInArrow(
-        _band_batches, "key long, rep long"), "bands")
-    centers = (bands.groupBy("key").agg(F.min("rep").alias("center"),
-                                        F.count(F.lit(1)).alias("n")).where("n > 1")
-               .select("key", "center"))
-    crowded = materialize(bands.join(centers, "key"), "crowded")
-    star = (crowded.where("center <> rep")
-            .select(F.col("center").alias("a"), F.col("rep").alias("b")).distinct())
-    links = _confirm(star, classes, texts, "star")
-    parts = connected_components(links)
-    # Bands that hold several components yet: pairs across them, but for the
-    # center's, which are decided.
-    labelled = (crowded.join(parts.withColumnRenamed("id", "rep"), "rep", "left")
-                .withColumn("component", F.coalesce("component", "rep"))
-                .join(classes.select("rep", "n_shingles"), "rep"))
-    open_keys = (labelled.where("rep <> center").groupBy("key")
-                 .agg(F.min("component").alias("x"), F.max("component").alias("y"))
-                 .where("x <> y").select("key"))
-    rest = materialize(labelled.where("rep <> center").join(open_keys, "key")
-                       .select("key", "rep", "component", "n_shingles"), "rest")
-    left, right = (rest.select("key", F.col("rep").alias(x), F.col("component").alias(f"c_{x}"),
-                               F.col("n_shingles").alias(f"n_{x}")) for x in "ab")
-    across = (left.join(right, "key")
-              .where((F.col("a") < F.col("b")) & (F.col("c_a") != F.col("c_b"))
-                     & _size_ok("n_a", "n_b"))
-              .select("a", "b").distinct())
-    more = _confirm(across, classes, texts, "across")
-    final = connected_components(links.union(more)).withColumnRenamed("id", "rep")
-    members = classes.join(final, "rep", "left").select(
+        .agg(F.min("doc_id").alias("rep")).groupBy("rep").agg(F.min("digest").alias("digest")),
+        "classes")
+    reps = sketches.select(F.col("doc_id").alias("rep"), "digest", "registers").join(
+        classes, ["rep", "digest"], "left_semi").dropDuplicates(["rep"])
+    bands = materialize(reps.mapInArrow(_band_batches, "key long, rep long"), "bands")
+    shared = bands.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
+    crowded = materialize(bands.join(shared, "key"), "crowded")
+    # Full sets of the classes that share a band, made again from their texts;
+    # the join is the same at every size.
+    wanted = crowded.select(F.col("rep").alias("doc_id")).distinct()
+    members = materialize(
+        texts.join(wanted.hint("merge"), "doc_id", "left_semi").mapInArrow(
+            _set_batches, "rep long, digest binary, n long, registers binary, shingles binary")
+        .join(classes, ["rep", "digest"], "left_semi").dropDuplicates(["rep"]), "members")
+    links = None
+    for i in range(ROUNDS + 1):
+        labelled = _with_components(crowded, links)
+        order = F.xxhash64(F.lit(i), "key", "rep") if i else F.col("rep")
+        pairs = (labelled.join(_open_centers(labelled, order), "key")
+                 .where("component <> c_center")
+                 .select(F.least("rep", "center").alias("a"), F.greatest("rep", "center").alias("b"))
+                 .distinct())
+        found = _confirm(pairs, members, f"round{i}")
+        links = found if links is None else links.union(found)
+    links = links.union(_across(_with_components(crowded, links), members))
+    final = connected_components(links).withColumnRenamed("id", "rep")
+    labels = classes.join(final, "rep", "left").select(
         "digest", F.coalesce("component", "rep").alias("component"))
     return (sketches.select("doc_id", "n_shingles", "digest")
-            .join(members, "digest", "left")
+            .join(labels, "digest", "left")
             .select("doc_id", "n_shingles",
                     F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
                     .alias("component_id"))
