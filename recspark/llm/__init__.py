@@ -14,3 +14,11 @@
 ``queries`` holds the registered queries, ``oracle`` their DuckDB SQL.
 Nothing outside this package (and ``corpus_pipeline.py``) imports it.
 """
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions of this package run in Python workers; ship them by value, so the
+# workers need numpy and pyarrow only, not this package on their path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

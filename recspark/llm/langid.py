@@ -42,14 +42,13 @@ _UNIT = float(1 << 24)
 _GAP = 32
 _U = np.uint64
 
-_letters: list[np.ndarray] = []
-
-
-def letter_table() -> np.ndarray:
-    """Which code points are letters."""
-    if not _letters:
-        _letters.append(np.fromiter((chr(i).isalpha() for i in range(0x110000)), bool, 0x110000))
-    return _letters[0]
+def letters_of(points: np.ndarray) -> np.ndarray:
+    """Which of the code points are letters."""
+    seen = np.zeros(0x110000, bool)
+    seen[points] = True
+    found = np.flatnonzero(seen)
+    seen[found] = [chr(i).isalpha() for i in found.tolist()]
+    return seen[points]
 
 
 def letter_vectors(points: np.ndarray) -> np.ndarray:
@@ -77,7 +76,7 @@ def letter_runs(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.nda
     joined = "\0".join(f" {(t or '').replace(chr(0), ' ')} " for t in texts).lower()
     points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
     doc = np.cumsum(points == 0)
-    letter = letter_table()[points]
+    letter = letters_of(points)
     # Of the characters between words only the first stays.
     keep = letter | np.append(True, letter[:-1] | (points[:-1] == 0)) if len(points) else letter
     keep &= points != 0
