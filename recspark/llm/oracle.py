@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from recspark.llm.chat import BUDGET, BYTES_PER_TOKEN, FRAME_TOKENS, HISTORY_TOKENS
 from recspark.llm.queries import MIX_OTHER_WEIGHT, MIX_WEIGHTS
 
 _WEIGHTS = ", ".join(f"('{s}', {w})" for s, w in MIX_WEIGHTS.items())
@@ -16,6 +17,26 @@ def _unit(text: str) -> str:
 
 ORACLES: dict[str, str] = {}
 
+ORACLES["op2_setsketch_dedup"] = """
+with recursive d as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''),
+           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\\x20\\x09-\\x0D]+') as w from documents),
+s as (select distinct doc_id, unnest(
+        case when len(w) = 0 then [] when len(w) < 5 then [array_to_string(w, ' ')]
+             else list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+        end) as sh from d),
+n as (select doc_id, count(*) as n from s group by doc_id),
+p as (select a.doc_id as a, b.doc_id as b, count(*) as i from s a join s b using (sh)
+      where a.doc_id <> b.doc_id group by 1, 2),
+e as (select a, b from p join n x on x.doc_id = a join n y on y.doc_id = b
+      where 100 * i >= 75 * (x.n + y.n - i)),
+reach(a, b) as (select a, b from e union select reach.a, e.b from reach join e on reach.b = e.a),
+low as (select a, min(b) as m from reach group by a)
+select d.doc_id, coalesce(n.n, 0) as n_shingles, least(d.doc_id, coalesce(m, d.doc_id)) as component_id,
+       d.doc_id = least(d.doc_id, coalesce(m, d.doc_id)) as kept
+from d left join n using (doc_id) left join low on low.a = d.doc_id"""
+
 ORACLES["op3_poisson_mixing"] = f"""
 with w(source, weight) as (values {_WEIGHTS}),
 d as (select documents.*, w.source as listed from documents left join w using (source)),
@@ -37,6 +58,46 @@ select doc_id, text, lang, source, n_chars, n_copies::int as n_copies, copy::int
        md5('mix-order|' || key || '|' || copy) as mix_key
 from copies"""
 
+_SAID = "'<|im_end|><|im_start|>assistant ok'"
+# One step per turn: it joins the window, or opens the next one with the system
+# turn and up to two turns of history.
+ORACLES["op5_chat_windows"] = f"""
+with recursive c as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all select -1, 0, 'user', {_SAID} union all select -1, 1, 'assistant', {_SAID}),
+o as (select *, row_number() over (partition by conv_id order by turn nulls first, role, text) - 1 as i,
+             ceil(strlen(text) / {BYTES_PER_TOKEN}.0)::bigint + {FRAME_TOKENS} as tok,
+             12 + length(role) + 1 + 11
+               + length(regexp_replace(text, '<(\\\\*)\\|', '<\\\\\\1|', 'g')) as seg from c),
+t as (select *, lag(tok, 1, 0) over w as tok1, lag(tok, 2, 0) over w as tok2,
+             lag(seg, 1, 0) over w as seg1, lag(seg, 2, 0) over w as seg2,
+             first_value(role) over w = 'system' as sys, first_value(tok) over w as tok0,
+             first_value(seg) over w as seg0
+      from o window w as (partition by conv_id order by i)),
+h as (select *, case when sys then 1 else 0 end as low, case when sys then tok0 else 0 end as st,
+             case when sys then seg0 else 0 end as ss from t),
+b as (select *, case
+        when i - 2 >= low and tok1 + tok2 <= {HISTORY_TOKENS} and st + tok1 + tok2 + tok <= {BUDGET} then 2
+        when i - 1 >= low and tok1 <= {HISTORY_TOKENS} and st + tok1 + tok <= {BUDGET} then 1
+        else 0 end as hist from h),
+r(conv_id, i, used, chars) as (
+  select conv_id, i, tok, seg from b where i = 0
+  union all
+  select b.conv_id, b.i,
+         case when r.used + b.tok > {BUDGET}
+              then st + case hist when 2 then tok1 + tok2 when 1 then tok1 else 0 end + b.tok
+              else r.used + b.tok end,
+         seg + case when r.used + b.tok > {BUDGET}
+              then ss + case hist when 2 then seg1 + seg2 when 1 then seg1 else 0 end else 0 end
+  from r join b on b.conv_id = r.conv_id and b.i = r.i + 1)
+select conv_id, count(*) as n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' order by i)) as turns_sha256,
+       coalesce(sum(length(text)) filter (role = 'assistant'), 0)::bigint as loss_chars,
+       sha256(coalesce(string_agg(text, '' order by i) filter (role = 'assistant'), ''))
+         as loss_sha256,
+       sum(chars)::bigint as formatted_chars
+from o join r using (conv_id, i) group by conv_id"""
+
 ORACLES["op6_e8_lattice_dedup"] = """
 with recursive v as (
   select row_number() over () as r, vec_id, label, embedding::double[] as e from embeddings),
