@@ -65,7 +65,7 @@ ROUNDS = 1
 #: The estimate a pair must reach to be verified.
 LEAST = THRESHOLD_PERCENT / 100 - MARGIN
 #: Rows of a side of a block of pairs.
-BLOCK = 256
+BLOCK = 512
 
 _U = np.uint64
 _STEP = _U(0x9E3779B97F4A7C15)
