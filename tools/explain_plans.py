@@ -14,21 +14,24 @@ import sys
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 KEY = {
-    "genre_top_n": "partial WindowGroupLimit before the exchange on genre; genre list "
-                   "broadcast into a nested-loop join, the movie side is not shuffled.",
+    "genre_top_n": "partial WindowGroupLimit before the exchange on genre; the genre list is "
+                   "an array literal, no join for the match.",
     "items_with_tags": "(mid, tag) deduplicated by a partial aggregate before the per-item "
                        "list is built; left join keeps movies without tags.",
     "item_popularity_by_month": "partial and final HashAggregate around one exchange.",
-    "vector_similar_items": "one repartition on the block pair feeding FlatMapGroupsInPandas; "
-                            "the final top-k is a partial + final WindowGroupLimit.",
-    "content_similar_items": "vectors per distinct genre string, blocked pairs, then the "
+    "vector_similar_items": "rows of cells (a written table) dealt to block pairs, one "
+                            "repartition feeding FlatMapGroupsInPandas; the final top-k is "
+                            "a partial + final WindowGroupLimit.",
+    "content_similar_items": "vectors per distinct term list, blocked pairs, then the "
                              "k+1-per-group expansion; every ranking is a WindowGroupLimit.",
     "stream_candidates": "anti join against the rated items, partial top-k before the "
                          "exchange on event_id.",
     "stream_recs_batch": "recent-K and latest-event windows with partial limits, then joins "
                          "and one grouped aggregate.",
     "leave_n_out_split": "one window per user ordered by position; no global window.",
-    "rmse_item_mean_split": "hash split as a projection (md5), one aggregate pass.",
+    "rmse_item_mean_split": "hash split as a projection (md5), one scan, two aggregates.",
+    "factor_user_recs": "packs of vectors joined on the pack number; partial top-k before the "
+                        "exchange on the left id; no Cartesian product.",
 }
 
 
