@@ -47,7 +47,6 @@ MIN_SCORE = 0.7
 Span = tuple[int, int, int]               # start, end, kind
 
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-_LOCAL = re.compile(r"[A-Za-z0-9._%+-]+\Z")
 # A run of digits is entered at its first digit only; the matches are the same.
 _IP = re.compile(r"(?<![0-9])[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
@@ -460,9 +459,12 @@ def fit_network(docs: DataFrame, train_docs: int = TRAIN_DOCS,
                  pa.array([[x for s in r[2] for x in s] for r in rows], pa.list_(pa.int32()))],
                 ["h", "w", "s"])
 
-    sample = (docs.where(F.col("text").rlike("[0-9@]")).select("text")
-              .withColumn("_h", F.xxhash64(F.lit("pii"), "text")).orderBy("_h", "text")
-              .limit(train_docs).select("text"))
+    texts = (docs.where(F.col("text").rlike("[0-9@]")).select("text")
+             .withColumn("_h", F.xxhash64(F.lit("pii"), "text")))
+    # The largest of the sample's hashes first, from hashes alone; then its texts.
+    last = (texts.select("_h").distinct().orderBy("_h").limit(train_docs)
+            .agg(F.max("_h")).first()[0])
+    sample = texts.where(F.col("_h") <= F.lit(last)).dropDuplicates(["_h"]).select("text")
     rows = (sample.mapInArrow(cut, "h long, w string, s array<int>").distinct()
             .orderBy("h", "w", "s").limit(train_windows).collect())
     if not rows:
