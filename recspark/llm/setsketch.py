@@ -29,7 +29,9 @@ link between two components of a band is left out.
 Defined results: documents without a word (null, empty) have an empty set, link
 with nothing and are their own component; a row without an id links with
 nothing, has a null component and is kept; rows that repeat an id and its text
-are one document, a further text of the same id is its own component; an empty
+are one document, a further text of the same id is a document of its own with
+its own links; a component is named by its smallest id and keeps the rows with
+that id, so ids that several texts share can name several components; an empty
 table gives no rows; other columns are ignored.
 """
 
@@ -168,16 +170,24 @@ def _sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             sets = Texts(part.column("text"), lower=True).shingle_sets(SHINGLE)
             reg = sketch_sets(sets)
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
+                [part.column("doc_id"), part.column("row_id"),
+                 pa.array([len(s) for s in sets], pa.int64()),
                  pa.array(map(_digest, sets), pa.binary()),
                  pa.array([r.tobytes() for r in reg], pa.binary())],
-                ["doc_id", "n_shingles", "digest", "registers"])
+                ["doc_id", "row_id", "n_shingles", "digest", "registers"])
+
+
+def _row_id() -> Column:
+    """Tells apart rows with the same document id."""
+    return F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
 
 
 def sketch_documents(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, digest (null: empty set) and registers of each row."""
-    return docs.select(F.col("doc_id").cast("long"), F.col("text")).mapInArrow(
-        _sketch_batches, "doc_id long, n_shingles long, digest binary, registers binary")
+    """doc_id, row_id, n_shingles, digest (null: empty set) and registers of
+    each row."""
+    return docs.select(F.col("doc_id").cast("long"), F.col("text"), _row_id().alias("row_id")) \
+        .mapInArrow(_sketch_batches, "doc_id long, row_id long, n_shingles long, digest binary, "
+                    "registers binary")
 
 
 def _band_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -220,7 +230,7 @@ def _set_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                  pa.array([len(s) for s in sets], pa.int64()),
                  pa.array([r.tobytes() for r in sketch_sets(sets)], pa.binary()),
                  pa.array([s.tobytes() for s in sets], pa.binary())],
-                ["rep", "digest", "n", "registers", "shingles"])
+                ["doc_id", "digest", "n", "registers", "shingles"])
 
 
 def _block_pairs(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
@@ -330,7 +340,7 @@ def _across(labelled: DataFrame, members: DataFrame) -> DataFrame:
     sketch = members.select("rep", "n", "registers")
     row = "rep long, key long, component long, own int, p int, q int"
     near = materialize(in_blocks(dealt.join(sketch, "rep")).mapInArrow(_open_batches, row), "near")
-    return materialize(in_blocks(near.join(members.drop("digest"), "rep"))
+    return materialize(in_blocks(near.join(members, "rep"))
                        .mapInArrow(_across_batches, "a long, b long"), "across-links")
 
 
@@ -351,27 +361,30 @@ def _open_centers(labelled: DataFrame, order: Column) -> DataFrame:
             .where("x <> y").select("key", "m.center", "m.c_center"))
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept of every row of ``docs``."""
+def _label_rows(docs: DataFrame) -> DataFrame:
+    """doc_id, row_id, n_shingles, component_id and kept of every row."""
     texts = docs.select(F.col("doc_id").cast("long"), "text")
     sketches = materialize(sketch_documents(texts), "sketches")
-    # One row per set, and per id where rows repeat it with other texts.
+    # One row per set; rep is a key of its own, as several sets may have the
+    # same smallest id.
     classes = materialize(
         sketches.where("digest is not null and doc_id is not null").groupBy("digest")
-        .agg(F.min("doc_id").alias("rep")).groupBy("rep").agg(F.min("digest").alias("digest")),
-        "classes")
-    reps = sketches.select(F.col("doc_id").alias("rep"), "digest", "registers").join(
-        classes, ["rep", "digest"], "left_semi").dropDuplicates(["rep"])
+        .agg(F.min("doc_id").alias("doc_id"))
+        .select("digest", "doc_id", F.monotonically_increasing_id().alias("rep")), "classes")
+    reps = (sketches.select("doc_id", "digest", "registers").join(classes, ["doc_id", "digest"])
+            .select("rep", "registers").dropDuplicates(["rep"]))
     bands = materialize(reps.mapInArrow(_band_batches, "key long, rep long"), "bands")
     shared = bands.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
     crowded = materialize(bands.join(shared, "key"), "crowded")
     # Full sets of the classes that share a band, made again from their texts;
     # the join is the same at every size.
-    wanted = crowded.select(F.col("rep").alias("doc_id")).distinct()
+    met = classes.join(crowded.select("rep").distinct(), "rep", "left_semi")
+    wanted = met.select("doc_id").distinct()
     members = materialize(
         texts.join(wanted.hint("merge"), "doc_id", "left_semi").mapInArrow(
-            _set_batches, "rep long, digest binary, n long, registers binary, shingles binary")
-        .join(classes, ["rep", "digest"], "left_semi").dropDuplicates(["rep"]), "members")
+            _set_batches, "doc_id long, digest binary, n long, registers binary, shingles binary")
+        .join(met, ["doc_id", "digest"]).select("rep", "n", "registers", "shingles")
+        .dropDuplicates(["rep"]), "members")
     links = None
     for i in range(ROUNDS + 1):
         labelled = _with_components(crowded, links)
@@ -384,19 +397,30 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         links = found if links is None else links.union(found)
     links = links.union(_across(_with_components(crowded, links), members))
     final = connected_components(links).withColumnRenamed("id", "rep")
-    labels = classes.join(final, "rep", "left").select(
-        "digest", F.coalesce("component", "rep").alias("component"))
-    return (sketches.select("doc_id", "n_shingles", "digest")
+    # Only here a component takes the smallest id of its documents as its name.
+    grouped = materialize(classes.join(final, "rep"), "grouped")
+    names = grouped.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    named = grouped.join(names, "component").select("rep", "component_id")
+    labels = classes.join(named, "rep", "left").select(
+        "digest", F.coalesce("component_id", "doc_id").alias("component"))
+    return (sketches.select("doc_id", "row_id", "n_shingles", "digest")
             .join(labels, "digest", "left")
-            .select("doc_id", "n_shingles",
+            .select("doc_id", "row_id", "n_shingles",
                     F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
                     .alias("component_id"))
             .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))))
 
 
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, component_id and kept of every row of ``docs``."""
+    return _label_rows(docs).drop("row_id")
+
+
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     """``docs`` with one document of each group of near duplicates, the one
-    with the smallest id."""
-    gone = (near_duplicates(docs).where(~F.col("kept")).select(F.col("doc_id").alias("_gone"))
-            .distinct())
-    return docs.join(gone, docs["doc_id"].cast("long") == gone["_gone"], "left_anti")
+    with the smallest id.  A row goes by its id and its text."""
+    gone = (_label_rows(docs).where(~F.col("kept"))
+            .select(F.col("doc_id").alias("_gone"), F.col("row_id").alias("_gone_row")).distinct())
+    return docs.join(gone, (docs["doc_id"].cast("long") == gone["_gone"])
+                     & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == gone["_gone_row"]),
+                     "left_anti")

@@ -163,6 +163,22 @@ def test_near_duplicates_of_awkward_rows(spark, edge_docs, no_docs):
     assert setsketch.near_duplicates(no_docs).count() == 0
 
 
+def test_one_id_with_two_texts(spark):
+    a, b, c = words(40, 801), words(40, 802), words(40, 803)
+    digest = {x: setsketch._digest(Texts(pa.array([x]), lower=True).shingle_sets(5)[0])
+              for x in (a, b)}
+    a, b = sorted((a, b), key=digest.get)                      # b isn't the smaller digest
+    near = b.rsplit(" ", 1)[0]
+    rows = [(5, a), (5, b), (9, b), (12, b), (14, near), (3, c), (7, c), (7, words(40, 804))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = Counter((r["doc_id"], r["component_id"], r["kept"])
+                  for r in setsketch.near_duplicates(docs).collect())
+    assert got == Counter([(5, 5, True), (5, 5, True), (9, 5, False), (12, 5, False),
+                           (14, 5, False), (3, 3, True), (7, 3, False), (7, 7, True)])
+    left = Counter(tuple(r) for r in setsketch.drop_near_duplicates(docs).collect())
+    assert left == Counter([rows[0], rows[1], rows[5], rows[7]])
+
+
 def test_sketch_estimates_and_merges():
     r = np.random.default_rng(2)
     for j, n in ((.9, 2000), (.75, 300), (.5, 1000), (.1, 500)):
