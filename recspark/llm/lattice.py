@@ -20,8 +20,10 @@ Defined results: vectors that are null, empty, zero, or hold a null or
 non-finite component, and vectors with a null label, link with nothing and are
 their own component; vectors of unequal length are not compared; a row without
 an id links with nothing, has a null component and is kept; rows that repeat an
-id and its vector count as many vectors; an empty table gives no rows; other
-columns are ignored.
+id and its vector count as many vectors, and an id with several vectors or
+labels links with each of them; a component is named by its smallest id and
+keeps the rows with that id; an empty table gives no rows; other columns are
+ignored.
 """
 
 from __future__ import annotations
@@ -282,11 +284,11 @@ def near_duplicate_vectors(df: DataFrame, cosine: float = MIN_COSINE) -> DataFra
     """vec_id, n_links, component_id and kept of every row of ``df``."""
     digested, width = digest_vectors(df)
     rows = materialize(digested, "vectors")
-    one = F.struct("digest", "label", "vector", "n")
+    # rep is a key of its own: several vectors may have the same smallest id.
     classes = (rows.where("digest is not null").groupBy("digest")
-               .agg(F.min("vec_id").alias("rep"), F.first("label").alias("label"),
+               .agg(F.min("vec_id").alias("vec_id"), F.first("label").alias("label"),
                     F.first("vector").alias("vector"), F.count(F.lit(1)).alias("n"))
-               .groupBy("rep").agg(F.min(one).alias("c")).select("rep", "c.*"))
+               .withColumn("rep", F.monotonically_increasing_id()))
     classes = materialize(classes, "classes")
     keyed = materialize(classes.mapInArrow(
         _key_batches(width), "rep long, n long, vector binary, home array<long>, "
@@ -314,10 +316,14 @@ def near_duplicate_vectors(df: DataFrame, cosine: float = MIN_COSINE) -> DataFra
     parts = connected_components(
         links.where("c <> rep").select(F.col("rep").alias("a"), F.col("c").alias("b")).distinct()) \
         .select(F.col("id").alias("rep"), "component")
-    members = (classes.select("digest", "rep", "n").join(counts, "rep", "left")
-               .join(parts, "rep", "left")
+    # Only here a component takes the smallest id of its vectors as its name.
+    grouped = materialize(classes.select("rep", "vec_id").join(parts, "rep"), "grouped")
+    names = grouped.groupBy("component").agg(F.min("vec_id").alias("name"))
+    named = grouped.join(names, "component").select("rep", "name")
+    members = (classes.select("digest", "rep", "vec_id", "n").join(counts, "rep", "left")
+               .join(named, "rep", "left")
                .select("digest", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"),
-                       F.coalesce("component", "rep").alias("component")))
+                       F.coalesce("name", "vec_id").alias("component")))
     return (rows.select("vec_id", "digest").join(members, "digest", "left")
             .select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
                     F.coalesce("component", "vec_id").alias("component_id"))

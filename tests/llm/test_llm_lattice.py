@@ -63,6 +63,22 @@ def test_links_equal_brute_force(spark, seed):
     assert all(r["kept"] == (r["vec_id"] == r["component_id"]) for r in out)
 
 
+def test_one_id_with_two_vectors(spark):
+    r = np.random.default_rng(6)
+    a, b = ([float(np.float32(x)) for x in r.normal(size=24)] for _ in range(2))
+    digests = {d["vec_id"]: d["digest"] for d in lattice.digest_vectors(spark.createDataFrame(
+        [(0, a, 0, "x", 1), (1, b, 0, "x", 1)], SCHEMA))[0].collect()}
+    if digests[0] > digests[1]:
+        a, b = b, a                                            # b isn't the smaller digest
+    near = [b[0] * 1.01, *b[1:]]
+    rows = [(5, a, 0, "x", 1), (5, b, 0, "x", 1), (9, b, 0, "x", 1), (12, b, 0, "x", 1),
+            (14, near, 0, "x", 1), (5, b, 1, "x", 1), (20, b, 1, "x", 1)]
+    got = lattice.near_duplicate_vectors(spark.createDataFrame(rows, SCHEMA).repartition(3))
+    assert sorted(tuple(x) for x in got.collect()) == sorted([
+        (5, 0, 5, True), (5, 3, 5, True), (9, 3, 5, False), (12, 3, 5, False), (14, 3, 5, False),
+        (5, 1, 5, True), (20, 1, 5, False)])
+
+
 def test_divided_cells_count_every_link_once(spark, monkeypatch):
     """A hot group of near copies in cells far larger than a block."""
     monkeypatch.setattr(lattice, "BLOCK", 16)
