@@ -12,6 +12,11 @@ a window begins with the conversation's leading system turn, then the last
 cover the texts of new assistant turns, so repeated ones are masked.  A turn
 larger than the budget gets a window of its own, marked ``over_budget``.
 
+Turns stay rows of their own: they are numbered by range partitions, chunks of
+them carry prefix sums, and a chunk's rule says which window is open behind it
+for any one open before, so a conversation may have any number of turns.  Only
+a window, and in ``read_windows`` a conversation, is one row.
+
 Defined results: turns are ordered by turn, role and text, nulls first; a null
 role or text is empty; rows with a null ``conv_id`` are one conversation; equal
 rows are kept; an empty table gives no rows; other columns are ignored.
@@ -20,8 +25,11 @@ rows are kept; an empty table gives no rows; other columns are ignored.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from recspark.llm.common import materialize
+
 START, END = "<|im_start|>", "<|im_end|>"
 BUDGET = 512
 HISTORY_TURNS = 2
@@ -29,6 +37,10 @@ HISTORY_TOKENS = 128
 BYTES_PER_TOKEN = 4
 #: Tokens of a turn's frame: both marks, the role and two line breaks.
 FRAME_TOKENS = 5
+#: Turns of a chunk and chunks of a group, as powers of two.
+CHUNK_BITS, GROUP_BITS = 7, 10
+_RULE = "array<struct<t:bigint,used:bigint,n:bigint>>"
+_SHOWN = "array<struct<w:bigint,m:bigint,old:array<bigint>>>"
 
 
 def escape(text: Column) -> Column:
@@ -55,51 +67,179 @@ def turn_tokens(text: Column) -> Column:
     return (F.ceil(F.octet_length(text) / F.lit(BYTES_PER_TOKEN)) + FRAME_TOKENS).cast("long")
 
 
-def _conversations(turns: DataFrame) -> DataFrame:
-    """conv_id, t: array of (role, text, tokens, upto), in turn order.
-
-    ``upto`` is the prefix sum of tokens before the turn.
-    """
-    one = F.struct("turn", "role", "text")
-    lists = turns.groupBy("conv_id").agg(F.array_sort(F.collect_list(one)).alias("a"))
+def _turns(turns: DataFrame) -> DataFrame:
+    """m, conv_id, role, text and tokens of each turn; m numbers all turns of
+    all conversations in their order, with gaps between range partitions."""
     empty = F.lit("")
-    t = F.transform("a", lambda x: F.struct(
-        F.coalesce(x["role"], empty).alias("role"), F.coalesce(x["text"], empty).alias("text"),
-        turn_tokens(F.coalesce(x["text"], empty)).alias("tokens")))
-    return lists.select("conv_id", t.alias("t"))
-
-
-def _plan(t: Column, budget: int, history_turns: int, history_tokens: int) -> Column:
-    """Array of (start, history): a window's first new turn and repeated turns."""
-    has_sys = t[0]["role"] == "system"
-    first = F.when(has_sys, 1).otherwise(0)          # turns that may not be history
-    sys_tokens = F.when(has_sys, t[0]["tokens"]).otherwise(F.lit(0)).cast("long")
-    turns = F.transform(t, lambda x, i: F.struct(i.alias("i"), x["tokens"].alias("tokens")))
-
-    def history(i: Column, tokens: Column) -> Column:
-        """(n, sum): the longest run of turns just before i within the limits."""
-        total, best = F.lit(0).cast("long"), F.struct(F.lit(0).alias("n"),
-                                                      F.lit(0).cast("long").alias("sum"))
+    keys = ["conv_id", "turn", "role", "text"]
+    # The last key spreads equal rows.
+    ranged = (turns.select(*keys, F.monotonically_increasing_id().alias("row"))
+              .repartitionByRange(*keys, "row").sortWithinPartitions(*keys, "row"))
+    text = F.coalesce("text", empty)
+    return materialize(ranged.select(
+        F.monotonically_increasing_id().alias("m"), "conv_id",
+        F.coalesce("role", empty).alias("role"), text.alias("text"),
+        turn_tokens(text).alias("tokens")), "chat-turns")
+
+
+def _chunks(turns: DataFrame, budget: int, history_turns: int, history_tokens: int) -> DataFrame:
+    """One row per chunk of up to CHUNK turns of a conversation: k (its first
+    m), m0 (the conversation's first m), b: array of (m, tokens, upto, base,
+    old) in order.
+
+    ``upto`` is the prefix sum of tokens in the chunk, the turn among them;
+    ``base`` the tokens that a window repeats if it begins with the turn, and
+    ``old`` the m of the repeated turns.
+    """
+    one = F.struct("m", "tokens", (F.col("role") == "system").alias("sys"))
+    chunks = materialize(
+        turns.groupBy("conv_id", F.shiftright("m", CHUNK_BITS).alias("c"))
+        .agg(F.array_sort(F.collect_list(one)).alias("a"))
+        .select("conv_id", F.col("a")[0]["m"].alias("k"), "a"), "chat-chunks")
+    some = max(history_turns, 1)
+    in_order = W.partitionBy("conv_id").orderBy("k")
+    tail = F.slice("a", F.greatest(F.size("a") - some + 1, F.lit(1)), some)
+    # Every chunk has a turn: as many chunks as turns of history are enough.
+    around = (chunks.select("conv_id", "k", F.col("a")[0].alias("head"), tail.alias("tail"))
+              .select("k", F.first("head").over(in_order).alias("head"),
+                      F.flatten(F.collect_list("tail").over(in_order.rowsBetween(-some, -1)))
+                      .alias("before")))
+    whole = (chunks.select("k", "a").join(around, "k")
+             .withColumn("m0", F.col("head.m"))
+             .withColumn("low", F.when(F.col("head.sys"), F.col("m0") + 1).otherwise(F.col("m0")))
+             .withColumn("st", F.when(F.col("head.sys"), F.col("head.tokens"))
+                         .otherwise(F.lit(0).cast("long")))
+             .withColumn("all", F.concat("before", "a"))
+             .withColumn("off", F.size("before")))
+    system = F.filter(F.array("m0"), lambda m: F.col("head.sys"))
+    none = F.struct(F.col("st").alias("base"), system.alias("old"))
+
+    def begins(x: Column, j: Column) -> Column:
+        total, ids, best = F.col("st"), system, none
         for n in range(1, history_turns + 1):
-            total = total + F.coalesce(F.get(t, i - n)["tokens"], F.lit(0))
-            fits = ((i - n >= first) & (total <= history_tokens)
-                    & (sys_tokens + total + tokens <= budget))
-            best = F.when(fits, F.struct(F.lit(n).alias("n"), total.alias("sum"))).otherwise(best)
+            y = F.get("all", F.col("off") + j - n)
+            total = total + y["tokens"]
+            ids = F.concat(ids, F.array(y["m"]))
+            fits = ((y["m"] >= F.col("low")) & (total - F.col("st") <= history_tokens)
+                    & (total + x["tokens"] <= budget))
+            best = F.when(fits, F.struct(total.alias("base"), ids.alias("old"))).otherwise(best)
         return best
 
+    b = F.transform("a", lambda x, j: F.struct(x["m"].alias("m"), x["tokens"].alias("tokens"),
+                                               begins(x, j).alias("h")))
+    sums = F.aggregate("b", F.expr("cast(array() as array<bigint>)"), lambda acc, x: F.concat(
+        acc, F.array(x["tokens"] + F.coalesce(F.get(acc, F.size(acc) - 1), F.lit(0)))))
+    b2 = F.zip_with("b", "sums", lambda x, s: F.struct(
+        x["m"].alias("m"), x["tokens"].alias("tokens"), s.alias("upto"),
+        x["h"]["base"].alias("base"), x["h"]["old"].alias("old")))
+    return materialize(whole.select("k", "m0", b.alias("b")).withColumn("sums", sums)
+                       .select("k", "m0", b2.alias("b")), "chat-prefix")
+
+
+def _walk(b: Column, m0: Column, budget: int, used: Column) -> Column:
+    """(used, n) after the turns of ``b``: the open window's tokens and the
+    number of windows begun, with ``used`` tokens before."""
+    zero = F.struct(used.cast("long").alias("used"), F.lit(0).cast("long").alias("n"))
+
+    def step(acc: Column, x: Column) -> Column:
+        opens = (x["m"] > m0) & (acc["used"] + x["tokens"] > budget)
+        return F.struct((F.when(opens, x["base"]).otherwise(acc["used"]) + x["tokens"]).alias("used"),
+                        (acc["n"] + F.when(opens, 1).otherwise(0)).cast("long").alias("n"))
+    return F.aggregate(b, zero, step)
+
+
+def _after(rule: Column, total: Column, used: Column) -> Column:
+    """(used, n) behind a part with ``used`` tokens before it.
+
+    ``rule`` holds (t, used, n) with falling t: the first one with a t below
+    the tokens before holds; without any the part begins no window.
+    """
+    r = F.get(F.filter(rule, lambda x: used > x["t"]), F.lit(0))
+    return F.struct(F.coalesce(r["used"], used + total).alias("used"),
+                    F.coalesce(r["n"], F.lit(0).cast("long")).alias("n"))
+
+
+def _shorten(rule: Column) -> Column:
+    """Without the entries that no number of tokens reaches."""
+    return F.filter(rule, lambda x, i: (i == 0) | (F.get(rule, i - 1)["t"] >= 0))
+
+
+def _join_rules(parts: Column) -> Column:
+    """(rule, total) of an array of parts in order."""
+    def step(acc: Column, x: Column) -> Column:
+        def through(y: Column) -> Column:
+            z = _after(x["rule"], x["total"], y["used"])
+            return F.struct(y["t"].alias("t"), z["used"].alias("used"),
+                            (y["n"] + z["n"]).alias("n"))
+        later = F.transform(x["rule"], lambda y: F.struct(
+            (y["t"] - acc["total"]).alias("t"), y["used"].alias("used"), y["n"].alias("n")))
+        both = F.concat(F.transform(acc["rule"], through), later)
+        return F.struct(_shorten(both).alias("rule"), (acc["total"] + x["total"]).alias("total"))
+    zero = F.struct(F.expr(f"cast(array() as {_RULE})").alias("rule"),
+                    F.lit(0).cast("long").alias("total"))
+    return F.aggregate(parts, zero, step)
+
+
+def _before_each(parts: Column, used: Column, w: Column) -> Column:
+    """Array of (k, used, w): the tokens and the window before each part."""
+    zero = F.struct(used.alias("used"), w.alias("w"), F.expr(
+        "cast(array() as array<struct<k:bigint,used:bigint,w:bigint>>)").alias("out"))
+
+    def step(acc: Column, x: Column) -> Column:
+        z = _after(x["rule"], x["total"], acc["used"])
+        here = F.struct(x["k"].alias("k"), acc["used"].alias("used"), acc["w"].alias("w"))
+        return F.struct(z["used"].alias("used"), (acc["w"] + z["n"]).alias("w"),
+                        F.concat(acc["out"], F.array(here)).alias("out"))
+    return F.aggregate(parts, zero, step, lambda acc: acc["out"])
+
+
+def _members(chunks: DataFrame, budget: int) -> DataFrame:
+    """(m, window, new) of every turn in every window that shows it.
+
+    A chunk's rule says how it ends for any number of tokens before it.  Rules
+    of chunks are joined to those of groups; from the start of a conversation
+    the tokens before each group, then before each chunk, follow.
+    """
+    first = F.col("k") == F.col("m0")
+    entries = F.filter("b", lambda x: x["upto"] - x["tokens"] <= budget)
+    rule = F.transform(entries, lambda x, j: F.struct(
+        (F.lit(budget).cast("long") - x["upto"]).alias("t"),
+        _walk(F.slice("b", j + 1, F.size("b")), F.col("m0"), budget, F.lit(budget)).alias("e")))
+    rule = F.transform(rule, lambda x: F.struct(
+        x["t"].alias("t"), x["e"]["used"].alias("used"), x["e"]["n"].alias("n")))
+    start = _walk(F.col("b"), F.col("m0"), budget, F.lit(0))
+    start = F.transform(F.array(start), lambda e: F.struct(
+        F.lit(-1).cast("long").alias("t"), e["used"].alias("used"), e["n"].alias("n")))
+    parts = chunks.select("m0", "k", F.when(first, start).otherwise(rule).alias("rule"),
+                          F.element_at("b", -1)["upto"].alias("total"))
+    one = F.struct("k", "rule", "total")
+    groups = materialize(
+        parts.groupBy("m0", F.shiftright("k", CHUNK_BITS + GROUP_BITS).alias("g"))
+        .agg(F.array_sort(F.collect_list(one)).alias("parts"))
+        .select("m0", F.col("parts")[0]["k"].alias("k"), "parts",
+                _join_rules(F.col("parts")).alias("r"))
+        .select("m0", "k", "parts", "r.rule", "r.total"), "chat-groups")
+    zero = F.lit(0).cast("long")
+    heads = (groups.groupBy("m0").agg(F.array_sort(F.collect_list(one)).alias("parts"))
+             .select(F.inline(_before_each(F.col("parts"), zero, zero))))
+    each = (groups.select("k", "parts").join(heads, "k")
+            .select(F.inline(_before_each(F.col("parts"), F.col("used"), F.col("w")))))
+    acc = F.struct(F.col("used"), F.col("w"), F.expr(f"cast(array() as {_SHOWN})").alias("out"))
+
     def step(acc: Column, x: Column) -> Column:
-        opens = (x["i"] > 0) & (acc["used"] + x["tokens"] > budget)
-        h = history(x["i"], x["tokens"])
-        return F.when(opens, F.struct(
-            (sys_tokens + h["sum"] + x["tokens"]).alias("used"),
-            F.concat(acc["w"], F.array(F.struct(x["i"].alias("start"), h["n"].alias("history"))))
-            .alias("w"))).otherwise(F.struct(
-                (acc["used"] + x["tokens"]).alias("used"), acc["w"].alias("w")))
+        opens = (x["m"] > F.col("m0")) & (acc["used"] + x["tokens"] > budget)
+        w = acc["w"] + F.when(opens, 1).otherwise(0)
+        old = F.when(opens, x["old"]).otherwise(F.expr("cast(array() as array<bigint>)"))
+        here = F.struct(w.alias("w"), x["m"].alias("m"), old.alias("old"))
+        return F.struct((F.when(opens, x["base"]).otherwise(acc["used"]) + x["tokens"]).alias("used"),
+                        w.alias("w"), F.concat(acc["out"], F.array(here)).alias("out"))
 
-    zero = F.struct(F.lit(0).cast("long").alias("used"),
-                    F.array(F.struct(F.lit(0).alias("start"), F.lit(0).alias("history")))
-                    .alias("w"))
-    return F.aggregate(turns, zero, step, lambda acc: acc["w"])
+    shown = (chunks.join(each, "k")
+             .select(F.inline(F.aggregate("b", acc, step, lambda a: a["out"]))))
+    shows = F.concat(F.array(F.struct("m", F.lit(True).alias("new"))),
+                     F.transform("old", lambda m: F.struct(m.alias("m"), F.lit(False).alias("new"))))
+    return shown.select(F.col("w").cast("int").alias("window"), F.explode(shows).alias("s")) \
+        .select("s.m", "window", "s.new")
 
 
 def format_windows(turns: DataFrame, budget: int = BUDGET, history_turns: int = HISTORY_TURNS,
@@ -112,15 +252,13 @@ def format_windows(turns: DataFrame, budget: int = BUDGET, history_turns: int =
     """
     if history_turns < 0 or budget < 1:
         raise ValueError("budget must be positive, history_turns not negative")
-    convs = _conversations(turns)
-    planned = convs.withColumn("plan", _plan(F.col("t"), budget, history_turns, history_tokens))
-    each = (planned.withColumn("n", F.size("t"))
-            .select("conv_id", "t", "n", "plan", F.posexplode("plan").alias("window", "w"))
-            .withColumn("stop", F.coalesce(F.get("plan", F.col("window") + 1)["start"], F.col("n"))))
-    has_sys = (F.col("t")[0]["role"] == "system") & (F.col("w")["start"] > 0)
-    system = F.when(has_sys, F.slice("t", 1, 1)).otherwise(F.slice("t", 1, 0))
-    before = F.expr("slice(t, w.start - w.history + 1, w.history)")
-    fresh = F.expr("slice(t, w.start + 1, stop - w.start)")
+    rows = _turns(turns)
+    members = _members(_chunks(rows, budget, history_turns, history_tokens), budget)
+    one = F.struct("m", "role", "text", "tokens", "new")
+    each = (rows.join(members, "m").groupBy("conv_id", "window")
+            .agg(F.array_sort(F.collect_list(one)).alias("t")))
+    repeated = F.filter("t", lambda x: ~x["new"])
+    fresh = F.filter("t", lambda x: x["new"])
 
     def segment(x: Column, new: Column) -> Column:
         head = F.concat(F.lit(START), escape_role(x["role"]), F.lit("\n"))
@@ -128,7 +266,7 @@ def format_windows(turns: DataFrame, budget: int = BUDGET, history_turns: int =
         return F.struct(head.alias("head"), body.alias("body"), x["tokens"].alias("tokens"),
                         (new & (x["role"] == "assistant")).alias("loss"))
 
-    old = F.transform(F.concat(system, before), lambda x: segment(x, F.lit(False)))
+    old = F.transform(repeated, lambda x: segment(x, F.lit(False)))
     new = F.transform(fresh, lambda x: segment(x, F.lit(True)))
     segments = (each.select("conv_id", "window", old.alias("old"), new.alias("new"))
                 .select("conv_id", "window", F.size("old").alias("n_repeated"),

@@ -240,6 +240,57 @@ def test_windows_read_back(spark, budget, turns, tokens):
             assert r["text"][:s["start"]].endswith("<|im_start|>assistant\n")
 
 
+def brute_windows(rows, budget, turns, tokens):
+    """Sorted (conv_id, window, n_repeated, n_turns, tokens)."""
+    convs = defaultdict(list)
+    for c, *rest in rows:
+        convs[c].append(rest)
+    out = []
+    for c, ts in convs.items():
+        ts.sort(key=lambda t: tuple((x is not None, x) for x in t))
+        tok = [-(-len((x or "").encode()) // 4) + chat.FRAME_TOKENS for _, _, x in ts]
+        has_sys = ts[0][1] == "system"
+        sys = tok[0] if has_sys else 0
+        used, w, seen = 0, 0, [0, 0]
+        for i, t in enumerate(tok):
+            if i and used + t > budget:
+                out.append((c, w, *seen, used))
+                n = max(k for k in range(turns + 1) if k == 0 or (
+                    i - k >= has_sys and sum(tok[i - k:i]) <= tokens
+                    and sys + sum(tok[i - k:i]) + t <= budget))
+                w, used, seen = w + 1, sys + sum(tok[i - n:i]), [n + has_sys, n + has_sys]
+            used += t
+            seen[1] += 1
+        out.append((c, w, *seen, used))
+    return sorted(out, key=str)
+
+
+def shapes(windows):
+    return sorted(((r["conv_id"], r["window"], r["n_repeated"], r["n_turns"], r["tokens"])
+                   for r in windows.collect()), key=str)
+
+
+@pytest.mark.parametrize("chunk,group", [(0, 1), (2, 2)])
+def test_windows_across_chunks_and_groups(spark, monkeypatch, chunk, group):
+    monkeypatch.setattr(chat, "CHUNK_BITS", chunk)
+    monkeypatch.setattr(chat, "GROUP_BITS", group)
+    rows = awkward_turns() + [(5000, t, "user", "z" * (t * 7 % 50)) for t in range(150)]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    for budget, turns, tokens in [(512, 2, 128), (60, 3, 40), (40, 0, 0)]:
+        got = shapes(chat.format_windows(df, budget, turns, tokens))
+        assert got == brute_windows(rows, budget, turns, tokens)
+
+
+def test_conversation_of_many_turns(spark):
+    """A row never holds the conversation: one copy a window would be 80 GB."""
+    rows = [(None, t, "assistant" if t % 2 else "user", "y" * 400) for t in range(30_000)]
+    df = spark.range(30_000).select(
+        F.lit(None).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") % 2 == 1, "assistant").otherwise("user").alias("role"),
+        F.lit("y" * 400).alias("text"))
+    assert shapes(chat.format_windows(df)) == brute_windows(rows, 512, 2, 128)
+
+
 def test_windows_keep_system_and_history(spark):
     rows = [(1, 0, "system", "be kind")] + [
         (1, t, "user" if t % 2 else "assistant", f"turn {t} " + "y" * 400) for t in range(1, 9)]
