@@ -5,7 +5,8 @@ texts every ``<``, backslashes, ``|`` gets one more backslash, so no text can
 hold a control string, and taking one backslash away restores it.  A line break
 in a role is written as ``<\\n|``.
 
-Windows are spans of whole turns.  Prefix sums of the turns' tokens choose them:
+Windows are spans of whole turns.  Prefix sums of the turns' tokens in a chunk
+find where the first window begins, a running sum follows those after it:
 a window begins with the conversation's leading system turn, then the last
 ``history_turns`` turns before the span as far as they fit into
 ``history_tokens`` and the budget, then new turns up to the budget.  Loss spans
