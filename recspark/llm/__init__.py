@@ -10,6 +10,9 @@
   bpe         byte-level BPE over a contiguous rank array
   pii         character BiLSTM-CRF next to fixed patterns
   linededup   line de-duplication by range-partitioned line hashes
+  tokencount  token counts of whole texts by overlap resynchronisation
+  negatives   hard negatives by segment summary filtering
+  merkle      Merkle manifest with incremental witnesses
 
 ``queries`` holds the registered queries, ``oracle`` their DuckDB SQL.
 Nothing outside this package (and ``corpus_pipeline.py``) imports it.

@@ -134,3 +134,23 @@ select any_value(doc_id) as doc_id, count(*) as n_lines,
        sha256(coalesce(string_agg(line, chr(10) order by pos) filter (not gone), ''))
          as kept_sha256
 from m group by r"""
+
+ORACLES["op12_segment_negatives"] = """
+with v as (
+  select row_number() over () as r, vec_id,
+         case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+         list_transform(embedding, lambda x: floor(256 * x::double)) as e
+  from embeddings
+  where vec_id is not null and label is not null and len(embedding) > 0
+    and not list_contains(list_transform(embedding, lambda x: x is null or not isfinite(x)), true)),
+s as (select a.r as ar, a.vec_id as anchor_id, b.r as br, b.vec_id as id, a.label = b.label as same,
+             list_inner_product(a.e, b.e)::bigint as score
+      from v a join v b on a.r <> b.r and len(a.e) = len(b.e) where a.vec_id % 100 = 0),
+p as (select *, row_number() over (partition by ar order by score desc, id, br) as place
+      from s where same qualify place <= 5),
+n as (select p.anchor_id, p.id as positive_id, s.id as negative_id, p.score as positive_score,
+             s.score as negative_score,
+             row_number() over (partition by p.ar, p.place order by s.score desc, s.id, s.br) as rank
+      from p join s on s.ar = p.ar and not s.same
+       and 80 * p.score <= 100 * s.score and s.score <= p.score qualify rank <= 5)
+select anchor_id, positive_id, rank::int as rank, negative_id, positive_score, negative_score from n"""

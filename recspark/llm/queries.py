@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recspark.llm import (bpe, chat, langid, lattice, linededup, mixing, pii, quality,
-                          setsketch, sharding)
+from recspark.llm import (bpe, chat, langid, lattice, linededup, merkle, mixing, negatives, pii,
+                          quality, setsketch, sharding, tokencount)
 from recspark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -107,3 +107,23 @@ def op10(spark, d):
                                  detail=True)
     digest = F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256)
     return kept.select("doc_id", "n_lines", "n_dropped", digest.alias("kept_sha256"))
+
+
+@query("op11_token_counts")
+def op11(spark, d):
+    """Bytes and tokens of all whole texts, and those over 1,024 tokens."""
+    spec = tokencount.read_tokenizer(vocabulary_path())
+    return tokencount.count_tokens(table(spark, d, "documents"), spec)
+
+
+@query("op12_segment_negatives")
+def op12(spark, d):
+    """Hard negatives of each hundredth vector; every seventh has the next label."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(table(spark, d, "embeddings").withColumn("label", label))
+
+
+@query("op13_merkle_manifest")
+def op13(spark, d):
+    """Leaf, subroot, root and witness of every row, and the rows tampered with."""
+    return merkle.merkle_manifest(table(spark, d, "documents"))
