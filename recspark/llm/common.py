@@ -67,6 +67,25 @@ def text_chunks(batch: pa.RecordBatch, column: str = "text",
         yield batch.slice(start)
 
 
+#: Bytes up to which a block's columns keep Arrow's 32-bit offsets.
+SMALL_BLOCK = 1 << 30
+
+
+def one_batch(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+    """All rows of ``parts`` as one batch, however many bytes they have: beyond
+    SMALL_BLOCK texts and binaries get 64-bit offsets, as Arrow would otherwise
+    cut the rows into several batches."""
+    table = pa.Table.from_batches(parts)
+    if table.nbytes > SMALL_BLOCK:
+        wide = {pa.binary(): pa.large_binary(), pa.string(): pa.large_string()}
+        table = table.cast(pa.schema([f.with_type(wide.get(f.type, f.type))
+                                      for f in table.schema]))
+    batches = table.combine_chunks().to_batches()
+    if len(batches) != 1:
+        raise ValueError(f"{table.num_rows} rows make {len(batches)} batches")
+    return batches[0]
+
+
 def sorted_blocks(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...],
                   step: int = 2048) -> Iterator[pa.RecordBatch]:
     """The blocks of rows with equal ``keys`` of batches sorted by them; null
@@ -86,9 +105,9 @@ def sorted_blocks(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...],
             for stop in np.flatnonzero(new).tolist():
                 if stop > start:
                     rest.append(part.slice(start, stop - start))
-                yield pa.Table.from_batches(rest).combine_chunks().to_batches()[0]
+                yield one_batch(rest)
                 rest, start = [], stop
             rest.append(part.slice(start))
             last = tuple(c[-1] for c in cols)
     if rest:
-        yield pa.Table.from_batches(rest).combine_chunks().to_batches()[0]
+        yield one_batch(rest)

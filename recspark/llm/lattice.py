@@ -34,10 +34,11 @@ from itertools import combinations, product
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recspark.llm.common import materialize
+from recspark.llm.common import materialize, one_batch
 from recspark.llm.components import connected_components
 from recspark.llm.text_arrays import mix
 
@@ -101,7 +102,9 @@ def lattice_keys(unit: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.n
     home, visit = np.empty((n, TABLES), np.int64), np.empty((n, TABLES, PROBES), np.int64)
     for t in range(TABLES):
         x = unit @ projection(dim, t)
-        salt = mix(labels.astype(np.int64).view(_U) + _U(dim) * _U(1000003) + _U(t) * _U(7919))
+        # Steps of their own: no sum of label, length and table equals another one.
+        salt = mix(labels.astype(np.int64).view(_U))
+        salt = mix(mix(salt + _U(dim)) + _U(t))
         h = decode_e8(x)
         # All neighbours are equally far from h: the nearest to x has the largest product.
         best = np.argsort(-((x - h) @ short.T), axis=1, kind="stable")[:, :PROBES]
@@ -172,10 +175,10 @@ def _key_batches(width: int):
                     home, visit = lattice_keys(unit, labels[rows])
                     part = b.take(pa.array(rows))
                     yield pa.RecordBatch.from_arrays(
-                        [part.column("rep"), part.column("n"), part.column("vector"),
-                         pa.array(list(home), pa.list_(pa.int64())),
+                        [part.column("rep"), part.column("n"), part.column("label"),
+                         part.column("vector"), pa.array(list(home), pa.list_(pa.int64())),
                          pa.array(list(visit.reshape(len(rows), -1)), pa.list_(pa.int64()))],
-                        ["rep", "n", "vector", "home", "visit"])
+                        ["rep", "n", "label", "vector", "home", "visit"])
     return keys
 
 
@@ -237,27 +240,33 @@ def _block_batches(width: int, cosine: float):
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest: list[pa.RecordBatch] = []
 
-        def blocks(table: pa.Table) -> Iterator[pa.RecordBatch]:
-            b = table.combine_chunks().to_batches()[0]
+        def blocks(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            b = one_batch(parts)
             key, p, q = (b.column(c).to_numpy(zero_copy_only=False) for c in ("key", "p", "q"))
             cut = np.flatnonzero((key[1:] != key[:-1]) | (p[1:] != p[:-1]) | (q[1:] != q[:-1])) + 1
             bounds = [0, *cut.tolist(), len(key)]
-            col = {c: b.column(c).to_numpy(zero_copy_only=False) for c in ("rep", "n", "t", "own")}
+            col = {c: b.column(c).to_numpy(zero_copy_only=False)
+                   for c in ("rep", "n", "t", "own", "label")}
             home = np.array(b.column("home").to_pylist(), np.int64).reshape(-1, TABLES)
             visit = np.array(b.column("visit").to_pylist(), np.int64).reshape(-1, TABLES, PROBES)
             vector = b.column("vector")
+            size = pc.binary_length(vector).to_numpy(zero_copy_only=False)
             out = []
             for s, e in zip(bounds[:-1], bounds[1:]):
-                if e - s < 2:
-                    continue
-                rows = {"rep": col["rep"][s:e], "n": col["n"][s:e], "home": home[s:e],
-                        "visit": visit[s:e]}
-                sizes = {len(v) for v in vector[s:e].to_pylist()}
-                if len(sizes) > 1:             # keys of two lengths that collide
-                    continue
-                rows["unit"] = _unit_rows(vector[s:e], width)
-                part = (col["own"][s:e] != p[s:e]).astype(int)
-                out.append(compare_block(rows, part, int(col["t"][s]), int(key[s]), cosine))
+                # Rows with one key are of one table, label and length, unless their
+                # keys collide: then those of each are compared among themselves.
+                kind = np.stack([col["t"][s:e], col["label"][s:e], size[s:e]], 1)
+                kinds = [kind[0]] if (kind == kind[0]).all() else np.unique(kind, axis=0)
+                for k in kinds:
+                    at = s + np.flatnonzero((kind == k).all(axis=1))
+                    # Rows are in order of rep; one that has the key twice counts once.
+                    at = at[np.append(True, col["rep"][at[1:]] != col["rep"][at[:-1]])]
+                    if len(at) < 2:
+                        continue
+                    rows = {"rep": col["rep"][at], "n": col["n"][at], "home": home[at],
+                            "visit": visit[at], "unit": _unit_rows(vector.take(pa.array(at)), width)}
+                    part = (col["own"][at] != p[at]).astype(int)
+                    out.append(compare_block(rows, part, int(k[0]), int(key[s]), cosine))
             if out:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate([o[k] for o in out])) for k in range(3)],
@@ -272,11 +281,11 @@ def _block_batches(width: int, cosine: float):
                     same &= some.column(c).to_numpy(zero_copy_only=False) == v
                 tail = int(some.num_rows - same.sum())
                 if tail:                       # sorted: all before the last block is whole
-                    yield from blocks(pa.Table.from_batches([*rest, some.slice(0, tail)]))
+                    yield from blocks([*rest, some.slice(0, tail)])
                     rest = []
                 rest.append(some.slice(tail))
         if rest:
-            yield from blocks(pa.Table.from_batches(rest))
+            yield from blocks(rest)
     return compare
 
 
@@ -291,7 +300,7 @@ def near_duplicate_vectors(df: DataFrame, cosine: float = MIN_COSINE) -> DataFra
                .withColumn("rep", F.monotonically_increasing_id()))
     classes = materialize(classes, "classes")
     keyed = materialize(classes.mapInArrow(
-        _key_batches(width), "rep long, n long, vector binary, home array<long>, "
+        _key_batches(width), "rep long, n long, label long, vector binary, home array<long>, "
         "visit array<long>"), "cells")
     homes = keyed.select("rep", F.lit(True).alias("at_home"), F.posexplode("home").alias("t", "key"))
     visits = keyed.select("rep", F.lit(False).alias("at_home"),

@@ -66,8 +66,9 @@ MARGIN = 4.5 * (0.75 * 0.25 / REGISTERS) ** 0.5
 ROUNDS = 1
 #: The estimate a pair must reach to be verified.
 LEAST = THRESHOLD_PERCENT / 100 - MARGIN
-#: Rows of a side of a block of pairs.
+#: Rows of a side of a block of pairs, and bytes of their sets, about.
 BLOCK = 512
+BLOCK_BYTES = 128 << 20
 
 _U = np.uint64
 _STEP = _U(0x9E3779B97F4A7C15)
@@ -101,6 +102,11 @@ def sketch_sets(sets: list[np.ndarray]) -> np.ndarray:
     return np.clip(k, 0, Q + 1).astype(np.uint16).reshape(n, REGISTERS)
 
 
+#: The registers in the order in which bands take them.  An element walks the
+#: registers in equal steps; neighbours in this order are no neighbours of a walk.
+_BANDED = np.random.default_rng(256).permutation(REGISTERS)
+
+
 def merge_sketches(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """The sketch of the union."""
     return np.maximum(a, b)
@@ -109,7 +115,7 @@ def merge_sketches(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 def band_keys(registers: np.ndarray, rows: int = ROWS) -> np.ndarray:
     """One 64-bit key per band and sketch (len x REGISTERS // rows)."""
     bands = REGISTERS // rows
-    r = registers[:, :bands * rows].astype(_U).reshape(len(registers), bands, rows)
+    r = registers[:, _BANDED[:bands * rows]].astype(_U).reshape(len(registers), bands, rows)
     key = np.broadcast_to(np.arange(1, bands + 1, dtype=_U) * _STEP, r.shape[:2]).copy()
     for j in range(rows):
         key = mix(key * _STEP + r[:, :, j])
@@ -324,11 +330,15 @@ def _confirm(pairs: DataFrame, members: DataFrame, name: str) -> DataFrame:
 
 def _across(labelled: DataFrame, members: DataFrame) -> DataFrame:
     """The linked pairs across components of a band, compared in blocks."""
-    keys = (labelled.groupBy("key").agg(
-        F.count(F.lit(1)).alias("rows"), F.min("component").alias("x"),
-        F.max("component").alias("y")).where("x <> y")
-        .select("key", F.ceil(F.col("rows") / BLOCK).cast("int").alias("parts")))
-    dealt = (labelled.join(keys, "key")
+    several = (labelled.groupBy("key").agg(F.min("component").alias("x"),
+                                           F.max("component").alias("y"))
+               .where("x <> y").select("key"))
+    open_rows = materialize(labelled.join(several, "key").join(members.select("rep", "n"), "rep"),
+                            "open")
+    keys = open_rows.groupBy("key").agg(F.greatest(
+        F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("n") * 8 / BLOCK_BYTES))
+        .cast("int").alias("parts"))
+    dealt = (open_rows.join(keys, "key")
              .withColumn("own", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int"))
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
              .select("rep", "key", "component", "own", F.least("own", "other").alias("p"),

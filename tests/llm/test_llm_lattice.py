@@ -138,3 +138,38 @@ def test_sorted_blocks():
     assert [g["k"] for g in got] == [[1, 1], [2], [3, 3, 3, 3], [9]]
     assert [x for g in got for x in g["v"]] == list(range(8))
     assert list(sorted_blocks(iter([]), ("k",))) == []
+
+
+@pytest.mark.parametrize("collide", [False, True])
+def test_labels_never_meet(spark, monkeypatch, collide):
+    """Labels that differ by multiples of any step, in all tables; and cells whose keys
+    collide over labels, lengths and tables are compared apart."""
+    r = np.random.default_rng(5)
+    base = r.normal(size=(12, 16))
+    labels = [0, 7919, 15838, -7919, -1, 1000003, 2 ** 40, 5 * 7919]
+    rows = []
+    for n in range(240):
+        dim = 16 if n % 9 else 11
+        e = base[n % 12][:dim] + r.normal(size=dim) * 0.02
+        rows.append((n, [float(np.float32(x)) for x in e], labels[n % 8], "x", 1))
+    schema = SCHEMA.replace("label int", "label long")
+    if collide:
+        plain = lattice._cell_key
+        monkeypatch.setattr(lattice, "_cell_key",
+                            lambda points, salt: plain(points, np.zeros_like(salt)) % 50)
+    got = lattice.near_duplicate_vectors(spark.createDataFrame(rows, schema).repartition(3))
+    assert sorted((str(x.vec_id), x.n_links, x.component_id) for x in got.collect()) == brute(rows)
+
+
+def test_large_blocks_are_whole(monkeypatch):
+    """Beyond the limit a block's columns get 64-bit offsets, and no row is lost."""
+    import pyarrow as pa
+    from recspark.llm import common
+    monkeypatch.setattr(common, "SMALL_BLOCK", 100)
+    batches = [pa.RecordBatch.from_arrays(
+        [pa.array([k] * 5), pa.array([bytes([k]) * 50] * 5, pa.binary()),
+         pa.array(["t" * 30] * 5)], ["key", "b", "t"]) for k in (1, 1, 2)]
+    blocks = list(sorted_blocks(iter(batches), ("key",)))
+    assert [b.num_rows for b in blocks] == [10, 5]
+    assert blocks[0].schema.field("b").type == pa.large_binary()
+    assert blocks[0].column("b").to_pylist() == [b"\x01" * 50] * 10
