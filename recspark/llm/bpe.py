@@ -35,8 +35,9 @@ from pyspark.sql.types import ArrayType, IntegerType
 
 #: Words up to this many bytes are encoded in matrices.
 SHORT = 48
-#: Distinct chunks kept by a task; the cache starts anew beyond.
+#: Distinct chunks kept by a task, and their characters; the cache starts anew beyond.
 CACHE_CHUNKS = 600_000
+CACHE_CHARS = 16 << 20
 #: Characters of text encoded together.
 GROUP_CHARS = 4 << 20
 #: Code points with the Unicode property White_Space.
@@ -177,6 +178,7 @@ class Tokenizer:
         names = sorted(vocabulary.special, key=len, reverse=True)
         self._special = re.compile("|".join(map(re.escape, names))) if names else None
         self._cache: dict[str, bytes] = {}
+        self._held = 0
 
     def _cut(self, chunk: str) -> list[str]:
         """The words of a chunk; letters, and letters before one mark, are
@@ -207,11 +209,13 @@ class Tokenizer:
 
     def _learn(self, chunks: set[str]) -> None:
         cache = self._cache
-        if len(cache) > CACHE_CHUNKS:
+        if len(cache) > CACHE_CHUNKS or self._held > CACHE_CHARS:
             cache.clear()
+            self._held = 0
         if not cache:  # a special token's string is never part of another chunk
             cache.update((t, np.int32(i).tobytes()) for t, i in self.v.special.items())
         new = [c for c in chunks if c not in cache]
+        self._held += sum(map(len, new))
         cut = list(map(self._cut, new))
         ids = self._encode_words(set(chain.from_iterable(cut)))
         for c, words in zip(new, cut):

@@ -38,6 +38,8 @@ UNDETERMINED = "und"
 _CHUNK = 1 << 20
 #: Runs whose vectors a task keeps.
 _CACHE_RUNS = 16_384
+#: Distinct runs bound at once where a chunk has more than the cache holds.
+_SLICE = 4_096
 _UNIT = float(1 << 24)
 _GAP = 32
 _U = np.uint64
@@ -138,16 +140,31 @@ class Profiler:
         if not len(runs):
             return out, has
         distinct, place = self._distinct(runs)
-        k = len(distinct)
-        bound = self._lookup(distinct)
+        if len(distinct) > _CACHE_RUNS:
+            # Many letters: the sums are whole numbers, so slices of runs add up exactly.
+            order = np.argsort(place, kind="stable")
+            place, doc = place[order], doc[order]
+            cuts = np.searchsorted(place, np.arange(0, len(distinct) + _SLICE, _SLICE))
+            for at, s, e in zip(range(0, len(distinct), _SLICE), cuts[:-1], cuts[1:]):
+                bound = run_vectors(distinct[at:at + _SLICE]).astype(np.float32)
+                again = np.argsort(doc[s:e], kind="stable")
+                self._add(out, doc[s:e][again], place[s:e][again] - at, bound)
+        else:
+            self._add(out, doc, place, self._lookup(distinct))
+        return out, has
+
+    @staticmethod
+    def _add(out: np.ndarray, doc: np.ndarray, place: np.ndarray, bound: np.ndarray) -> None:
+        """Adds the vectors ``bound[place]`` to the rows ``doc`` (ascending) of ``out``."""
+        k = len(bound)
         rows = max(1, (1 << 22) // k)      # documents whose counts fit into 16 MB
-        starts = np.searchsorted(doc, np.arange(0, len(texts) + rows, rows))
-        for i, at in enumerate(range(0, len(texts), rows)):
+        starts = np.searchsorted(doc, np.arange(0, len(out) + rows, rows))
+        for i, at in enumerate(range(0, len(out), rows)):
             part = slice(starts[i], starts[i + 1])
-            n = min(rows, len(texts) - at)
-            count = np.bincount((doc[part] - at) * k + place[part], minlength=n * k)
-            out[at:at + n] = count.reshape(n, k).astype(np.float32) @ bound
-        return out, has
+            n = min(rows, len(out) - at)
+            if starts[i + 1] > starts[i]:
+                count = np.bincount((doc[part] - at) * k + place[part], minlength=n * k)
+                out[at:at + n] += count.reshape(n, k).astype(np.float32) @ bound
 
 
 def _unit(x: np.ndarray) -> np.ndarray:

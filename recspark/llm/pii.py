@@ -24,8 +24,10 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -354,29 +356,54 @@ def reconcile(text: str, found: list[tuple[int, int, int, float, bool, bool]],
     offsets of the text)."""
     whole = [f for f in found if not (f[4] or f[5])]
     # A cut span counts only where no window sees it whole; pieces are joined.
-    cut = sorted(f for f in found if (f[4] or f[5]) and not any(
-        w[2] == f[2] and w[0] < f[1] and f[0] < w[1] for w in whole))
+    seen = {}
+    for kind in {f[2] for f in whole}:
+        of_kind = sorted((f[0], f[1]) for f in whole if f[2] == kind)
+        seen[kind] = ([s for s, _ in of_kind], list(accumulate((e for _, e in of_kind), max)))
+    cut = sorted(f for f in found if (f[4] or f[5]) and not _reaches(seen.get(f[2]), f[0], f[1]))
     for f in cut:
         if whole and whole[-1][2] == f[2] and f[0] <= whole[-1][1] and (whole[-1][4]
                                                                        or whole[-1][5]):
             a = whole.pop()
             f = (min(a[0], f[0]), max(a[1], f[1]), f[2], min(a[3], f[3]), a[4], True)
         whole.append(f)
-    taken = [(s, e) for s, e, _ in base]
+    starts, ends = _union(base)
     out: list[Span] = []
     for s, e, kind, score, _, _ in sorted(whole, key=lambda f: (-f[3], f[0], f[2], -f[1])):
         while s < e and text[s] in " .,;:":
             s += 1
         while e > s and text[e - 1] in " .,;:":
             e -= 1
+        # Taken spans lie apart and in order: only the last one that begins before e counts.
+        at = bisect_left(starts, e)
+        if at and ends[at - 1] > s:
+            continue
         piece = text[s:e]
-        if (score >= MIN_SCORE and _TRIGGER.search(piece) and _PLAUSIBLE[kind](piece)
-                and not any(a < e and s < b for a, b in taken)):
-            taken.append((s, e))
+        if score >= MIN_SCORE and _TRIGGER.search(piece) and _PLAUSIBLE[kind](piece):
+            starts.insert(at, s)
+            ends.insert(at, e)
             out.append((s, e, kind))
     return out
 
 
+def _reaches(spans: tuple[list[int], list[int]] | None, start: int, end: int) -> bool:
+    """Whether one of the spans (starts in order, largest ends so far) overlaps."""
+    at = bisect_left(spans[0], end) if spans else 0
+    return bool(at) and spans[1][at - 1] > start
+
+
+def _union(spans: list[Span]) -> tuple[list[int], list[int]]:
+    """Starts and ends of the union of spans, in order."""
+    starts, ends = [], []
+    for s, e, _ in sorted(spans):
+        if ends and s < ends[-1]:
+            ends[-1] = max(ends[-1], e)
+        else:
+            starts.append(s)
+            ends.append(e)
+    return starts, ends
+
+
 def find_spans(texts: list[str | None], network: Network | None
                ) -> Iterator[tuple[list[Span], list[Span]]]:
     """(base, added) spans of each text."""
@@ -417,10 +444,15 @@ def training_windows(text: str) -> Iterator[tuple[int, str, list[Span]]]:
     """(hash, window, spans) for learning: each grid window with a digit or
     ``@``, and, where it holds a span, once more with a span rewritten."""
     base = base_spans(text)
+    order = sorted(range(len(base)), key=lambda i: base[i][0])
+    begins = [base[i][0] for i in order]
+    reach = list(accumulate((base[i][1] for i in order), max))
     for start in window_starts(text):
         w = text[start:start + WINDOW]
-        inside = [(max(s - start, 0), min(e - start, len(w)), k) for s, e, k in base
-                  if s < start + len(w) and e > start]
+        # Spans in order of their start: before the first none reaches the window.
+        some = sorted(order[bisect_right(reach, start):bisect_left(begins, start + len(w))])
+        inside = [(max(s - start, 0), min(e - start, len(w)), k) for s, e, k in
+                  map(base.__getitem__, some) if e > start]
         h = int.from_bytes(hashlib.blake2b(w.encode("utf-8", "replace"), digest_size=7).digest())
         yield h, w, inside
         whole = [x for x in inside if (x[0] > 0 or start == 0) and x[1] < len(w)]

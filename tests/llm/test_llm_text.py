@@ -444,3 +444,114 @@ def test_shingle_sets_equal_brute_force():
     part = pa.array([None, "zz", *texts])[2:]                  # a slice with an offset
     again = Texts(part, lower=True).shingle_sets(5)
     assert all((a == b).all() for a, b in zip(sets, again))
+
+
+def _pairs_without_a_band(small, large, n, seed):
+    """Of n pairs of sets, one inside the other, those whose sketches share no band."""
+    r = np.random.default_rng(seed)
+    lost = 0
+    for _ in range(0, n, 5000):
+        big = r.integers(0, 2 ** 63, size=(5000, large)).astype(np.uint64)
+        keys = [setsketch.band_keys(setsketch.sketch_sets([np.sort(x) for x in part]))
+                for part in (big[:, :small], big)]
+        lost += int((~(keys[0] == keys[1]).any(axis=1)).sum())
+    return lost
+
+
+@pytest.mark.parametrize("small,large", [(3, 4), (6, 8)])
+def test_tiny_sets_at_the_threshold_meet(small, large):
+    """100,000 pairs at a similarity of exactly 0.75; independent registers lose 1e-6."""
+    assert _pairs_without_a_band(small, large, 100_000, 9) <= 2
+
+
+def test_blocks_follow_the_bytes_of_their_sets(spark, monkeypatch):
+    """With a low limit of rows and bytes every pair is its own block: same result."""
+    texts = [" ".join(f"w{i}" for i in range(60))]
+    r = np.random.default_rng(3)
+    for n in range(40):
+        words_ = texts[0].split()
+        for at in r.integers(0, 60, size=2):
+            words_[at] = f"x{n}"
+        texts.append(" ".join(words_))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want = sorted(map(tuple, setsketch.near_duplicates(docs).collect()))
+    monkeypatch.setattr(setsketch, "BLOCK_BYTES", 500)
+    monkeypatch.setattr(setsketch, "ROUNDS", 0)
+    assert sorted(map(tuple, setsketch.near_duplicates(docs).collect())) == want
+
+
+def test_many_letters_are_bound_in_slices(monkeypatch):
+    """350,000 letters of a large alphabet: the same sums, in bounded memory."""
+    import tracemalloc
+    r = np.random.default_rng(1)
+    texts = ["".join(map(chr, r.integers(0x4E00, 0x9F00, n))) for n in (350_000, 300, 0, 40)]
+    profiler = langid.Profiler()
+    tracemalloc.start()
+    got, has = profiler.vectors(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 300 << 20
+    assert has.tolist() == [True, True, False, True]
+    doc, runs, _ = langid.letter_runs(texts)
+    for d in (1, 3):
+        assert (got[d] == langid.run_vectors(runs[doc == d]).astype(int).sum(0)).all()
+    some = texts[0][:30_000]
+    monkeypatch.setattr(langid, "_CACHE_RUNS", 1 << 30)
+    whole = langid.Profiler().vectors([some, texts[1]])[0]
+    monkeypatch.setattr(langid, "_CACHE_RUNS", 100)
+    monkeypatch.setattr(langid, "_SLICE", 777)
+    assert (langid.Profiler().vectors([some, texts[1]])[0] == whole).all()
+
+
+def _reconcile_by_definition(text, found, base):
+    """Each span against each other one."""
+    whole = [f for f in found if not (f[4] or f[5])]
+    for f in sorted(f for f in found if (f[4] or f[5]) and not any(
+            w[2] == f[2] and w[0] < f[1] and f[0] < w[1] for w in whole)):
+        if whole and whole[-1][2] == f[2] and f[0] <= whole[-1][1] and any(whole[-1][4:]):
+            a = whole.pop()
+            f = (min(a[0], f[0]), max(a[1], f[1]), f[2], min(a[3], f[3]), a[4], True)
+        whole.append(f)
+    taken, out = [x[:2] for x in base], []
+    for s, e, kind, score, *_ in sorted(whole, key=lambda f: (-f[3], f[0], f[2], -f[1])):
+        while s < e and text[s] in " .,;:":
+            s += 1
+        while e > s and text[e - 1] in " .,;:":
+            e -= 1
+        if (score >= pii.MIN_SCORE and pii._TRIGGER.search(text[s:e])
+                and pii._PLAUSIBLE[kind](text[s:e])
+                and not any(a < e and s < b for a, b in taken)):
+            taken.append((s, e))
+            out.append((s, e, kind))
+    return out
+
+
+def test_spans_are_reconciled_as_defined():
+    import random
+    r = random.Random(6)
+    for _ in range(300):
+        text = "".join(r.choice("01234567890123 .@ab+-()") for _ in range(300))
+        found = []
+        for _ in range(60):
+            s = r.randrange(290)
+            found.append((s, min(300, s + r.randrange(1, 40)), r.randrange(4),
+                          r.choice([0.5, 0.7, 0.8, 0.9, 0.95]), r.random() < .2, r.random() < .2))
+        base = [(s, s + r.randrange(5, 30), r.randrange(4)) for s in r.sample(range(270), 4)]
+        assert pii.reconcile(text, found, base) == _reconcile_by_definition(text, found, base)
+
+
+def test_four_megabytes_of_telephone_numbers():
+    """Every span seen by two windows, and all of them cut for training, in linear time."""
+    import time
+    line = "(212) 555-0143 +1 212 555 0199\n"
+    text = line * ((4 << 20) // len(line))
+    found = []
+    for at in range(0, len(text), len(line)):
+        found += [(at, at + 14, 3, 0.9, False, False)] * 2
+    base = [(at + 15, at + 30, 3) for at in range(0, len(text), len(line))]
+    began = time.time()
+    assert len(pii.reconcile(text, found, base)) == len(base)
+    assert time.time() - began < 60
+    began = time.time()
+    n = sum(1 for _ in zip(range(20_000), pii.training_windows(text)))
+    assert n == 20_000 and time.time() - began < 60
