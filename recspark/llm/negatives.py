@@ -51,6 +51,8 @@ PACK = 2048
 BLOCK = (1024, 65_536)
 #: Rows bounded and scored at once.
 STEP = 512
+#: From one pair in so many on, a product of all rows costs less than their pairs.
+DENSE = 20
 
 _LIMIT = 2.0 ** 62
 #: Beyond every score.
@@ -98,7 +100,7 @@ def exact_scores(a: np.ndarray, b: np.ndarray, i: np.ndarray, j: np.ndarray) ->
     if top >= 2.0 ** 53:                       # beyond what doubles add exactly
         out = [sum(int(x) * int(y) for x, y in zip(a[p], b[q])) for p, q in zip(i, j)]
         return np.array([max(-2 ** 62, min(2 ** 62, s)) for s in out], np.int64)
-    if len(i) * 20 >= len(a) * len(b):         # a dense product costs less
+    if len(i) * DENSE >= len(a) * len(b):      # a dense product costs less
         return np.rint((a @ b.T)[i, j]).astype(np.int64)
     parts = [np.zeros(0)]
     for at in range(0, len(i), 1 << 16):
@@ -134,6 +136,11 @@ class Pack:
         low, up = bounds(self.levels[0], b["levels"][0])
         i, j = np.nonzero(ok & (up >= bar[:, None]) & (low <= roof[:, None]))
         for mine, theirs in zip(self.levels[1:], b["levels"][1:]):
+            if len(i) * DENSE >= len(mine) * len(theirs):
+                low, up = bounds(mine, theirs)
+                keep = (up[i, j] >= bar[i]) & (low[i, j] <= roof[i])
+                i, j = i[keep], j[keep]
+                continue
             keep = []
             for at in range(0, len(i), 1 << 16):
                 s = slice(at, at + (1 << 16))
