@@ -91,8 +91,8 @@ def content(movies: DataFrame, out: str, k: int, hashed: bool = True,
     return {S.TABLE_CONTENT_RECS: _write(nested, out, S.TABLE_CONTENT_RECS, fmt)}
 
 
-def evaluate_als(ratings: DataFrame, seed: int = 42, parallelism: int = 8,
-                 sweep: bool = True, grid: dict | None = None) -> dict[str, DataFrame]:
+def evaluate_als(ratings: DataFrame, seed: int = 42, sweep: bool = True,
+                 grid: dict | None = None) -> dict[str, DataFrame]:
     """U1 split 8:1:1 -> V12 sweeps, V13 grid + refit, V14 test RMSE."""
     r = splits.hash_split(ratings, ["uid", "mid", "ts"], [0.8, 0.1, 0.1],
                           ["train", "validation", "test"])
@@ -100,9 +100,8 @@ def evaluate_als(ratings: DataFrame, seed: int = 42, parallelism: int = 8,
                           for p in ("train", "validation", "test"))
     out = {}
     if sweep:
-        out["sweep"] = evaluate.param_sweep(train, valid, seed=seed, parallelism=parallelism)
-    out["best"] = evaluate.train_validate_test(train, valid, test, seed=seed,
-                                               parallelism=parallelism, **(grid or {}))
+        out["sweep"] = evaluate.param_sweep(train, valid, seed=seed)
+    out["best"] = evaluate.train_validate_test(train, valid, test, seed=seed, **(grid or {}))
     return out
 
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 import os
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
@@ -72,7 +72,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     It is the session's ``spark.checkpoint.dir`` (or the context's checkpoint
     folder).  Where neither is set, a session on one machine (``local[...]``)
     uses a folder of its own; on a cluster this raises, because executors would
-    write to their own disks.  The session's settings are never changed.
+    write to their own disks.  Neither the session's settings nor the context's
+    checkpoint folder are changed.
     """
     sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
@@ -81,11 +82,17 @@ def checkpoint_root(spark: SparkSession) -> str:
         if not one_machine:
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = f"/tmp/recspark-{sc.applicationId}"
-    if not sc.getCheckpointDir():
-        sc.setCheckpointDir(root)
     return root.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path below the shared checkpoint folder."""
     return f"{checkpoint_root(spark)}/recspark/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def saved(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to a fresh table in the shared folder and read back: the plan
+    behind it is one scan, whose files outlive any executor."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
