@@ -19,12 +19,12 @@ from recspark.functions import genre_text
 from recspark.operators.similarity import similar_items
 from recspark.operators.topk import top_k_per_key
 from recspark.schema import HASHING_TF_FEATURES, ITEM_SIM_FLOOR
-from recspark.session import checkpoint_root
+from recspark.session import saved
 
 
 def _tokens(col):
-    """V2: lower-case, '|' -> ' ', split on single spaces, drop empty tokens."""
-    return F.filter(F.split(F.lower(genre_text(col)), " "), lambda t: t != "")
+    """V2: lower-case, '|' -> ' ', split on white space, drop empty tokens."""
+    return F.filter(F.split(F.lower(genre_text(col)), r"\s"), lambda t: t != "")
 
 
 def _groups(movies: DataFrame) -> DataFrame:
@@ -102,12 +102,11 @@ def expand_group_similarity(group_sims: DataFrame, members: DataFrame,
 
 def _keyed_vectors(movies: DataFrame, hashed: bool, num_features: int) -> DataFrame:
     """(gid, gkey, vector columns): a group's id is its smallest item id, so two
-    groups never share one.  Read several times, hence written once, with a
-    reliable checkpoint in the shared checkpoint folder."""
-    checkpoint_root(movies.sparkSession)
+    groups never share one.  Read several times, hence written once, to the
+    shared folder."""
     vectors = tfidf_hashed(movies, num_features) if hashed else tfidf_exact(movies)
     ids = _groups(movies).groupBy("gkey").agg(F.min("mid").alias("gid"))
-    return vectors.join(ids, "gkey").checkpoint(eager=True)
+    return saved(vectors.join(ids, "gkey"), "content-vectors")
 
 
 def _group_sims(keyed: DataFrame, floor: float, k: int | None, digits, hashed: bool):
