@@ -162,6 +162,15 @@ select floor(1000000*sqrt(sum((r.score-a.p)*(r.score-a.p))/count(*)) + 0.5::doub
        count(*) n_test, count(*) - count(a.p) n_missing
 from s r left join a on a.mid = r.mid where r.split = 'test'"""
 
+ORACLES["rmse_item_mean_price"] = """
+with a as (select l_partkey, avg(l_extendedprice::double) p from lineitem group by l_partkey)
+select floor(1000*sqrt(avg((l.l_extendedprice::double - a.p)*(l.l_extendedprice::double - a.p)))
+             + 0.5::double)/1000 rmse,
+       floor(1000*sqrt(avg((l.l_extendedprice::double - a.p)*(l.l_extendedprice::double - a.p)))
+             + 0.5::double)/1000 rmse_joined,
+       count(*) n_test, 0::bigint n_missing
+from lineitem l join a on a.l_partkey = l.l_partkey"""
+
 ORACLES["recent_ratings"] = with_(V_STREAM) + """
 select uid, rn, event_id, mid, score, ts from (
   select *, row_number() over (partition by uid order by ts desc, event_id desc) rn
@@ -192,6 +201,7 @@ from j group by uid, mid"""
 
 ORACLES["stream_recs_batch"] = STREAM_RECS_SQL
 ORACLES["stream_recs"] = STREAM_RECS_SQL
+ORACLES["stream_recs_2s"] = STREAM_RECS_SQL
 
 ORACLES["parse_movie_text"] = with_(V_MOVIES) + "select mid, name, genres, " + ", ".join(
     f"'{f} of ' || mid as {f}" for f in ("descri", "timelong", "issue", "shoot", "language",
