@@ -154,3 +154,63 @@ n as (select p.anchor_id, p.id as positive_id, s.id as negative_id, p.score as p
       from p join s on s.ar = p.ar and not s.same
        and 80 * p.score <= 100 * s.score and s.score <= p.score qualify rank <= 5)
 select anchor_id, positive_id, rank::int as rank, negative_id, positive_score, negative_score from n"""
+
+
+# --- op13: a level of the tree is a table; unrolled for 8 ** 9 leaves and 8 ** 4 languages
+
+def _level(name: str, k: int) -> str:
+    """Runs of level k (where several nodes remain) and the nodes of level k + 1."""
+    return f"""
+{name}r{k} as (select g, pos // 8 as pos, list(h order by pos) as hs from {name}{k} where n > 1
+        group by g, pos // 8),
+{name}{k + 1} as (select *, count(*) over (partition by g) as n from (
+  select g, pos, sha256(array_to_string(hs, '')) as h from {name}r{k}
+  union all select g, pos, h from {name}{k} where n = 1))"""
+
+
+def _climb(name: str, source: str, k: int) -> str:
+    """A leaf's hash and the siblings so far, one level up."""
+    return f"""
+{source}{k + 1} as (select f.r, f.g, f.leaf, f.top, case when x.hs is null then f.p else f.p // 8 end as p,
+    case when x.hs is null then f.h else sha256(array_to_string(
+      list_concat(list_concat(x.hs[1:f.p % 8], [f.h]), x.hs[f.p % 8 + 2:]), '')) end as h,
+    f.proof || case when x.hs is null then '' else array_to_string(
+      list_concat(x.hs[1:f.p % 8], x.hs[f.p % 8 + 2:]), '') end as proof
+  from {source}{k} f left join {name}r{k} x on x.g = f.g and x.pos = f.p // 8)"""
+
+
+def _field(value: str) -> str:
+    return f"coalesce(strlen({value}::varchar)::varchar || ':' || {value}::varchar, '-')"
+
+
+def _leaf(text: str) -> str:
+    return "sha256(" + " || ".join(map(_field, ("doc_id", "source", "lang", "n_chars", text))) + ")"
+
+
+_LOWERED = ("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")
+_DEEP, _WIDE = 9, 4
+ORACLES["op13_merkle_manifest"] = (f"""
+with t as (select list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)),
+             lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end)) as t),
+c as (select documents.*, row_number() over () as r,
+             xor(list_reduce(list_prepend(4294967295::bigint, list_transform(
+                 string_split(doc_id::varchar, ''), lambda x: ascii(x)::bigint)),
+               lambda a, b: xor(a >> 8, t.t[(xor(a, b) & 255) + 1])), 4294967295) as crc
+      from documents cross join t),
+d as (select r, doc_id, coalesce('=' || lang, '') as g, {_leaf('text')} as leaf,
+             case when crc % 3 = 0 then {_leaf(_LOWERED)} else {_leaf('text')} end as alt from c),
+o as (select *, row_number() over (partition by g order by doc_id nulls first, leaf, r) - 1 as pos,
+             count(*) over (partition by g) as n from d),
+l0 as (select g, pos, leaf as h, n from o),"""
+    + ",".join(_level("l", k) for k in range(_DEEP)) + f""",
+s0 as (select 'all' as g, row_number() over (order by g) - 1 as pos, h,
+              count(*) over () as n, g as name from l{_DEEP}),"""
+    + ",".join(_level("s", k) for k in range(_WIDE)) + """,
+f0 as (select r, g, leaf, '' as top, pos as p, alt as h, '' as proof from o),"""
+    + ",".join(_climb("l", "f", k) for k in range(_DEEP)) + f""",
+u0 as (select f.r, 'all' as g, f.leaf, s0.h as top, s0.pos as p, f.h, f.proof
+       from f{_DEEP} f join s0 on s0.name = f.g),"""
+    + ",".join(_climb("s", "u", k) for k in range(_WIDE)) + f"""
+select d.doc_id, u.leaf, u.top as subroot, w.h as root, sha256(u.proof) as proof_sha256,
+       u.h as folded_root, u.h = w.h as verified
+from u{_WIDE} u join d using (r) cross join s{_WIDE} w""")
