@@ -89,7 +89,7 @@ def test_query_equals_its_sql(spark, con, name):
 
 def test_one_query_per_operator():
     numbers = sorted(int(q[2:].split("_")[0]) for q in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
 
 
 def test_op5_digests(spark):
