@@ -5,9 +5,10 @@ Keys of at least ``min_chars`` code points go as 128-bit hashes, with document
 and position, to range partitions sorted by hash, document and position.  The
 range is cut on the document too, so a line that fills a third of the table
 spreads over many tasks.  In that order first occurrences in a document are
-streamed; a partial aggregation sums them by key.  What returns to a document
-is one small bitmap of kept lines, as alternating run lengths (kept, dropped,
-kept, ...), never text.
+streamed; a partial aggregation sums them by key.  A key goes back only to the
+range partitions that hold it, by their numbers, so its lines stay spread where
+the bitmaps are made.  What returns to a document is one small bitmap of kept lines, as alternating run lengths
+(kept, dropped, kept, ...), never text.
 
 Defined results: a null or empty text is one empty line, and a null text stays
 null; rows with an equal id count as one document, also all rows without an id,
@@ -41,9 +42,10 @@ def _row_id(text: str = "text") -> Column:
 
 
 def line_occurrences(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
-    """(h1, h2, doc_id, row_id, pos, first) of every line with a long enough key.
+    """(h1, h2, doc_id, row_id, pos, first, part) of every line with a long enough key.
 
-    ``first`` marks the first of a document's lines with that key.
+    ``first`` marks the first of a document's lines with that key (of a row's,
+    without an id); ``part`` is the number of the line's range partition.
     """
     lines = (docs.select("doc_id", _row_id().alias("row_id"),
                          F.posexplode(lines_of()).alias("pos", "line"))
@@ -51,19 +53,29 @@ def line_occurrences(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
              .where(F.char_length("key") >= min_chars)
              .select(F.xxhash64("key").alias("h1"),
                      F.xxhash64(F.lit("line"), "key").alias("h2"),
-                     "doc_id", "row_id", "pos"))
-    in_order = lines.repartitionByRange("h1", "h2", "doc_id")
-    per_doc = W.partitionBy("h1", "h2", "doc_id").orderBy("pos", "row_id")
-    return in_order.withColumn("first", F.row_number().over(per_doc) == 1)
+                     "doc_id", "row_id", "pos",
+                     F.when(F.col("doc_id").isNull(), F.col("row_id")).alias("own")))
+    in_order = lines.repartitionByRange("h1", "h2", "doc_id", "own")
+    per_doc = W.partitionBy("h1", "h2", "doc_id", "own").orderBy("pos", "row_id")
+    return (in_order.withColumn("first", F.row_number().over(per_doc) == 1).drop("own")
+            .withColumn("part", F.spark_partition_id()))
 
 
 def repeated_keys(occurrences: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
-    """(h1, h2, keep_doc) of the keys found in at least ``min_docs`` documents."""
+    """(h1, h2, part, keep_doc) of the keys found in at least ``min_docs`` documents,
+    once for every range partition that holds the key.
+
+    A key's partitions follow one another, so the first and the last tell them.
+    """
+    no_id = F.col("doc_id").isNull()
     return (occurrences.groupBy("h1", "h2")
-            .agg(F.sum(F.col("first").cast("long")).alias("n_docs"),
-                 F.max("doc_id").alias("keep_doc"))
+            .agg((F.sum((F.col("first") & ~no_id).cast("long"))
+                  + F.max(no_id.cast("long"))).alias("n_docs"),
+                 F.max("doc_id").alias("keep_doc"),
+                 F.min("part").alias("_from"), F.max("part").alias("_to"))
             .where(F.col("n_docs") >= min_docs)
-            .select("h1", "h2", "keep_doc"))
+            .select("h1", "h2", "keep_doc",
+                    F.explode(F.sequence("_from", "_to")).alias("part")))
 
 
 def _runs_of_dropped(d: Column) -> Column:
@@ -83,7 +95,7 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = MIN_CHARS,
     then kept, ...; lines after the last run are kept.
     """
     occ = materialize(line_occurrences(docs, min_chars), "lines")
-    dropped = (occ.join(repeated_keys(occ, min_docs), ["h1", "h2"])
+    dropped = (occ.join(repeated_keys(occ, min_docs), ["part", "h1", "h2"])
                .where(~F.col("doc_id").eqNullSafe(F.col("keep_doc")))
                .groupBy("doc_id", "row_id")
                .agg(F.array_sort(F.collect_set("pos")).alias("d")))
