@@ -4,10 +4,14 @@ A source with ``n`` documents and share ``s`` of the target size ``t`` has the
 mean repetition rate ``t * s / n``.  Every document draws its number of copies
 from the Poisson distribution with that mean: a uniform number hashed from the
 seed and the document is inverted through the distribution function.  Copies
-are then put in a global random order by a range partition on a hashed key.
+are then put in a global random order by a range partition on a hashed key.  A mean
+above ``MAX_MEAN`` is drawn as a sum of parts with equal smaller means, so the
+literals of the distribution do not grow with the table.
 
 The draw of a document depends on its id, the seed and its source's rate only,
-never on its place in a file, so a lost task gives the same copies again.
+never on its place in a file, so a lost task gives the same copies again.  Rows
+that share an id share the order key too; behind it the ranges are cut by the
+text's hash and the input partition, so they spread over tasks.
 
 Defined results: a source that is not listed, null among them, belongs to one
 pooled rest with ``other_weight``; a document without an id draws by its text;
@@ -24,6 +28,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _HEX = 13
+#: Largest mean inverted in one draw.
+MAX_MEAN = 64.0
+#: Copies expanded from one row at once.
+COPY_CHUNK = 10_000
 
 
 def poisson_cdf(mean: float) -> list[float]:
@@ -78,19 +86,41 @@ def mix_sources(docs: DataFrame, weights: Mapping[str, float], other_weight: flo
     kept = [c for c in docs.columns if c not in added]
 
     def copies(rate: float) -> Column:
-        below = F.array(*[F.lit(c) for c in poisson_cdf(rate)])
-        return F.size(F.filter(below, lambda c: c <= F.col("__mix_u")))
+        parts = max(1, math.ceil(rate / MAX_MEAN))
+        below = F.array(*[F.lit(c) for c in poisson_cdf(rate / parts)])
+
+        def drawn_by(u: Column) -> Column:
+            return F.size(F.filter(below, lambda c: c <= u))
+
+        first = drawn_by(F.col("__mix_u"))
+        if parts == 1:
+            return first
+        return F.aggregate(
+            F.sequence(F.lit(1), F.lit(parts - 1)), first,
+            lambda total, part: total + drawn_by(hashed_unit(
+                f"{seed}-part", F.concat(part.cast("string"), F.lit("|"), F.col("__mix_id")))))
 
     n = copies(rates.get(None, 0.0))
     for s, rate in rates.items():
         if s is not None:
             n = F.when(F.col("source") == F.lit(s), copies(rate)).otherwise(n)
-    key = F.md5(F.concat(F.lit(f"{seed}-order|"), _draw_key(), F.lit("|"),
+    key = F.md5(F.concat(F.lit(f"{seed}-order|"), F.col("__mix_id"), F.lit("|"),
                          F.col("__mix_copy").cast("string")).cast("binary"))
-    drawn = (docs.select(*kept).withColumn("__mix_u", hashed_unit(seed, _draw_key()))
+    upto = F.least(F.col("__mix_chunk") + COPY_CHUNK, F.col("__mix_n")) - 1
+    drawn = (docs.select(*kept).withColumn("__mix_id", _draw_key())
+             .withColumn("__mix_u", hashed_unit(seed, F.col("__mix_id")))
              .withColumn("__mix_n", n).where("__mix_n > 0")
-             .withColumn("__mix_copy", F.explode(F.sequence(F.lit(0), F.col("__mix_n") - 1)))
-             .withColumn("__mix_key", key))
-    ordered = drawn.repartitionByRange("__mix_key").sortWithinPartitions("__mix_key")
+             .withColumn("__mix_row", F.xxhash64("__mix_id", "text"))
+             .withColumn("__mix_part", F.spark_partition_id()))
+    if max(rates.values(), default=0.0) > MAX_MEAN:
+        drawn = (drawn.withColumn("__mix_chunk", F.explode(F.sequence(
+                     F.lit(0), F.col("__mix_n") - 1, F.lit(COPY_CHUNK))))
+                 .withColumn("__mix_copy", F.explode(F.sequence("__mix_chunk", upto))))
+    else:
+        drawn = drawn.withColumn("__mix_copy",
+                                 F.explode(F.sequence(F.lit(0), F.col("__mix_n") - 1)))
+    order = ["__mix_key", "__mix_row", "__mix_part"]
+    ordered = (drawn.withColumn("__mix_key", key).repartitionByRange(*order)
+               .sortWithinPartitions(*order))
     names = {"copy": "__mix_copy", "n_copies": "__mix_n", "mix_key": "__mix_key"}
     return ordered.select(*kept, *(F.col(names[c]).alias(c) for c in added))

@@ -123,6 +123,47 @@ def test_target_shares_are_met(spark):
     assert abs(got["big"] - 10_000) < 400 and abs(got["small"] - 10_000) < 500
 
 
+def test_large_means_are_sums_of_parts(spark, monkeypatch):
+    docs = spark.range(400).select(
+        F.col("id").alias("doc_id"), F.lit("x").alias("text"),
+        F.when(F.col("id") < 4, "rare").otherwise("big").alias("source"))
+    monkeypatch.setattr(mixing, "MAX_MEAN", 8.0)
+    monkeypatch.setattr(mixing, "COPY_CHUNK", 7)
+    rows = mixing.mix_sources(docs, {"rare": 1.0, "big": 1.0}, epochs=40.0, detail=True).collect()
+    copies = defaultdict(list)
+    for r in rows:
+        copies[r["doc_id"]].append(r["copy"])
+        assert r["n_copies"] > r["copy"]
+    assert all(sorted(c) == list(range(len(c))) for c in copies.values())
+    # 4 documents of mean 2,000 and 396 of mean 20.2: five standard deviations
+    rare = [len(copies[i]) for i in range(4)]
+    assert abs(sum(rare) - 8000) < 5 * 8000 ** .5 and len(set(rare)) > 1
+    assert abs(len(rows) - sum(rare) - 8000) < 5 * 8000 ** .5
+
+
+def test_plan_does_not_grow_with_the_rate(spark):
+    docs = spark.range(50_000).select(
+        F.col("id").alias("doc_id"), F.lit("x").alias("text"),
+        F.when(F.col("id") == 0, "rare").otherwise("big").alias("source"))
+    plan = mixing.mix_sources(docs, {"rare": 1.0, "big": 1.0})._jdf.queryExecution()
+    assert len(plan.analyzed().toString()) < 100_000
+
+
+def test_a_third_of_the_rows_on_one_id(spark):
+    docs = spark.range(0, 9_000, 1, 12).select(
+        F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("doc_id"),
+        F.lit("same text").alias("text"), F.lit("s").alias("source"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = mixing.mix_sources(docs, {}, epochs=3.0, detail=True)
+        sizes = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+        keys = [r["mix_key"] for r in got.collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert keys == sorted(keys) and len(sizes) > 4
+    assert max(sizes) < 2 * sum(sizes) / len(sizes)
+
+
 # --- lines -----------------------------------------------------------------------
 
 def brute_lines(rows, min_chars=40, min_docs=5):
@@ -173,6 +214,29 @@ def test_hot_line(spark):
     assert got.where("n_dropped = 0").select("doc_id").first()[0] == 899
 
 
+def test_hot_line_stays_spread(spark):
+    line = "a line that stands in every single document of this table"
+    docs = spark.range(0, 6_000, 1, 6).select(
+        F.when(F.col("id") % 6 > 0, F.col("id")).alias("doc_id"),
+        F.concat(F.lit(line + "\n"), F.sha2(F.col("id").cast("string"), 256)).alias("text"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        occ = linededup.materialize(linededup.line_occurrences(docs), "lines").cache()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    keys = linededup.repeated_keys(occ)
+    met = occ.join(keys, ["part", "h1", "h2"])
+    assert met.count() == 6_000 and keys.select("h1").distinct().count() == 1
+    assert keys.count() > 2
+    assert met.groupBy("part").count().agg(F.max("count")).first()[0] < 6_000 / 2
+    # all rows without an id are one document, whatever their texts
+    assert linededup.repeated_keys(occ, 5_001).count() > 0
+    assert linededup.repeated_keys(occ, 5_002).count() == 0
+    occ.unpersist()
+    got = linededup.dedup_lines(docs, detail=True)
+    assert got.agg(F.sum("n_dropped")).first()[0] == 5_999
+
+
 def test_lines_of_nothing(no_docs, edge_docs):
     assert linededup.dedup_lines(no_docs).count() == 0
     out = linededup.dedup_lines(edge_docs)
