@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from recspark import schema as S
 from recspark.operators import (content as content_ops, evaluate, factors, splits,
                                 stats, tags as tag_ops, topk)
+from recspark.session import saved
 from recspark.sources import sinks, text
 
 
@@ -74,8 +75,8 @@ def offline(ratings: DataFrame, out: str, rank: int = S.OFFLINE_ALS["rank"],
     """V6 -> UserRecs (J4, F1, W2) and MovieRecs (V8, V3, F3, W3), nested."""
     model = factors.fit_als(ratings, rank, max_iter, reg_param, seed)
     user = topk.nest_recs(factors.user_recs(model, S.USER_RECS_K), "uid")
-    item = topk.nest_recs(factors.item_similar(model, S.ITEM_SIM_FLOOR, S.ITEM_SIMS_K),
-                          "mid", item_col="sim_mid")
+    item = saved(topk.nest_recs(factors.item_similar(model, S.ITEM_SIM_FLOOR, S.ITEM_SIMS_K),
+                                "mid", item_col="sim_mid"), "movie-recs")
     # MovieRecs is looked up by item while streaming.
     sinks.write_clustered(item, f"{out.rstrip('/')}/{S.TABLE_MOVIE_RECS}", "mid", fmt)
     return {S.TABLE_USER_RECS: _write(user, out, S.TABLE_USER_RECS, fmt),
@@ -113,13 +114,13 @@ def streaming(events: DataFrame, movie_recs: str, ratings: str, out: str,
     spark = events.sparkSession
 
     def sims():
-        t = spark.read.format(fmt).load(movie_recs)
+        t = sinks.read_clustered(spark, movie_recs, fmt)
         extra = [c for c in (sinks.BUCKET_COL,) if c in t.columns]
         return t.select("mid", *extra, F.explode("recs").alias("_r")).select(
             "mid", *extra, F.col("_r.mid").alias("sim_mid"), F.col("_r.score").alias("score"))
 
     def seen():
-        t = spark.read.format(fmt).load(ratings)
+        t = sinks.read_clustered(spark, ratings, fmt)
         return t.select("uid", "mid", *(c for c in (sinks.BUCKET_COL,) if c in t.columns))
 
     rec = StreamRecommender(sims, seen, f"{out.rstrip('/')}/{S.TABLE_STREAM_RECS}")

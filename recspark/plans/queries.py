@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from recspark import sources
-from recspark.session import scratch_path
+from recspark.session import saved, scratch_path
 
 from recspark.operators import (content, evaluate, factors, lsh, ranks, rerank, similarity, splits,
                                 stats, topk)
@@ -452,9 +452,10 @@ def sink_upsert(spark, d):
 def _lookups(spark, d):
     """Similar items and rated items as clustered tables: two readers."""
     sims_path, seen_path = scratch_path(spark, "sims"), scratch_path(spark, "seen")
-    sources.write_clustered(_vector_sims(spark, d), sims_path, "mid")
+    sources.write_clustered(saved(_vector_sims(spark, d), "all-sims"), sims_path, "mid")
     sources.write_clustered(views.ratings(spark, d).select("uid", "mid"), seen_path, "uid")
-    return lambda: spark.read.parquet(sims_path), lambda: spark.read.parquet(seen_path)
+    return (lambda: sources.read_clustered(spark, sims_path),
+            lambda: sources.read_clustered(spark, seen_path))
 
 
 #: Rows of a replayed event file, and files of a micro-batch.

@@ -7,6 +7,6 @@ from recspark.sources.text import (  # noqa: F401
     recent_list_key, encode_recent_item, encode_recent_lists, parse_recent_lists,
 )
 from recspark.sources.sinks import (  # noqa: F401
-    write_table, write_clustered, rows_of_keys, BUCKET_COL, write_keyed_docs, upsert_log_write, upsert_log_read,
-    upsert_log_compact,
+    write_table, write_clustered, read_clustered, rows_of_keys, BUCKET_COL, write_keyed_docs,
+    upsert_log_write, upsert_log_read, upsert_log_compact,
 )

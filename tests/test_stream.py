@@ -54,29 +54,86 @@ def test_stream_equals_batch_and_restarts(spark):
     assert _flat(got) == _flat(want)
 
 
+def _scans(node):
+    """The file scans of a plan that has run."""
+    name = node.getClass().getSimpleName()
+    if name == "AdaptiveSparkPlanExec":
+        yield from _scans(node.executedPlan())
+    elif name.endswith("QueryStageExec"):
+        yield from _scans(node.plan())
+    elif name == "FileSourceScanExec":
+        yield node
+    else:
+        for i in range(node.children().size()):
+            yield from _scans(node.children().apply(i))
+
+
+def _read(df):
+    """(rows, bytes of the files read) of a table of lookups."""
+    query = df._jdf.queryExecution()
+    rows = query.executedPlan().executeCollectPublic()
+    sizes = [s.metrics().get("filesSize").get().value() for s in _scans(query.executedPlan())]
+    return len(rows), sum(sizes)
+
+
 def test_lookup_reads_the_folders_of_its_keys(spark):
     from recspark import sources
     root = tempfile.mkdtemp(prefix="recspark-lookup-")
     table = spark.range(5000).select(F.col("id").cast("int").alias("uid"),
                                      (F.col("id") * 10).alias("v"))
-    # a third of the rows on one key
+    # a third of the rows on one key, and some without one
     table = table.union(spark.range(2500).select(F.lit(7), F.col("id")))
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    try:
-        sources.write_clustered(table, f"{root}/t", "uid")
-    finally:
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
-    stored = spark.read.parquet(f"{root}/t")
+    table = table.union(spark.range(3).select(F.lit(None).cast("int"), F.col("id")))
+    sources.write_clustered(table, f"{root}/t", "uid", bucket_rows=500)
+    stored = sources.read_clustered(spark, f"{root}/t")
+    assert stored.select(sources.BUCKET_COL).distinct().count() == 16
     keys = spark.createDataFrame([(3,), (7,), (7,), (4999,), (None,)], "uid int")
     got = sources.rows_of_keys(stored, "uid", keys)
     assert got.columns == ["uid", "v"]
     want = table.where("uid in (3, 7, 4999)")
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
-    # the hot key's folder holds several files, none with all of its rows
-    sizes = stored.where("uid = 7").groupBy(F.input_file_name()).count().collect()
-    assert len(sizes) > 1
     plain = sources.rows_of_keys(table, "uid", keys)
     assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, want.collect()))
+    # a smaller table in its place has fewer buckets; an empty one has none
+    sources.write_clustered(table.where("uid < 600 and uid <> 7"), f"{root}/t", "uid",
+                            bucket_rows=500)
+    stored = sources.read_clustered(spark, f"{root}/t")
+    assert stored.select(sources.BUCKET_COL).distinct().count() == 2
+    assert [r.uid for r in sources.rows_of_keys(stored, "uid", keys).collect()] == [3]
+    sources.write_clustered(table.where("uid < 0"), f"{root}/t", "uid")
+    stored = sources.read_clustered(spark, f"{root}/t")
+    assert stored.columns == ["uid", "v"]
+    assert sources.rows_of_keys(stored, "uid", keys).count() == 0
+
+
+def test_bytes_of_a_lookup_follow_its_keys(spark):
+    from recspark import sources
+    root = tempfile.mkdtemp(prefix="recspark-lookup-")
+    table = spark.range(2_000_000).select((F.col("id") % 400_000).cast("int").alias("uid"),
+                                          F.xxhash64("id").alias("v"))
+    sources.write_clustered(table, f"{root}/t", "uid", bucket_rows=4_000)
+    stored = sources.read_clustered(spark, f"{root}/t")
+    assert stored.select(sources.BUCKET_COL).distinct().count() == 500
+    whole = _read(stored)[1]
+    seen = {}
+    for n in (20, 200, 20_000):
+        keys = spark.range(n).select((F.col("id") * 19).cast("int").alias("uid"))
+        rows, seen[n] = _read(sources.rows_of_keys(stored, "uid", keys))
+        assert rows == 5 * n
+    # 20 keys are in 20 of 500 buckets at most, 200 in about 165, 20,000 in all
+    assert 0 < seen[20] < whole * 0.05
+    assert whole * 0.2 < seen[200] < whole * 0.42
+    assert seen[20_000] <= whole
+    # a key with a third of the rows does not make one task's file
+    hot = table.select(F.when(F.col("uid") % 3 == 0, 0).otherwise(F.col("uid")).alias("uid"), "v")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m")
+    try:
+        sources.write_clustered(hot, f"{root}/hot", "uid", bucket_rows=100_000)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    files = (sources.read_clustered(spark, f"{root}/hot").where("uid = 0")
+             .groupBy(F.input_file_name()).count().collect())
+    assert len(files) > 1
 
 
 def test_cut_before_the_state_keeps_the_newest():
