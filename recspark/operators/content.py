@@ -34,13 +34,14 @@ def _groups(movies: DataFrame) -> DataFrame:
             .where(F.col("gkey") != ""))
 
 
-def tfidf_exact(movies: DataFrame) -> DataFrame:
-    """Exact TF-IDF per distinct genre string -> (gkey, terms, weights).
+def tfidf_exact(movies: DataFrame, groups: DataFrame | None = None) -> DataFrame:
+    """Exact TF-IDF per distinct genre string -> (gkey, terms, weights); ``groups`` are
+    the items' groups where these are at hand.
 
     idf = ln((m + 1) / (df + 1)) with m = number of items and df = number of
     items whose genres contain the term (Spark ML's IDF formula).
     """
-    g = _groups(movies)
+    g = _groups(movies) if groups is None else groups
     m = movies.count()
     gsize = g.groupBy("gkey").agg(F.count(F.lit(1)).alias("gn"))
     tf = (gsize.select("gkey", "gn", F.explode(_tokens("gkey")).alias("term"))
@@ -54,7 +55,8 @@ def tfidf_exact(movies: DataFrame) -> DataFrame:
             .select("gkey", F.col("_tw.term").alias("terms"), F.col("_tw.w").alias("weights")))
 
 
-def tfidf_hashed(movies: DataFrame, num_features: int = HASHING_TF_FEATURES) -> DataFrame:
+def tfidf_hashed(movies: DataFrame, num_features: int = HASHING_TF_FEATURES,
+                 groups: DataFrame | None = None) -> DataFrame:
     """V2 + V4 + V5 with Spark ML: terms -> HashingTF -> IDF.
 
     IDF is fitted on all items, those without a term among them; vectors are
@@ -66,7 +68,8 @@ def tfidf_hashed(movies: DataFrame, num_features: int = HASHING_TF_FEATURES) ->
     htf = HashingTF(inputCol="words", outputCol="tf", numFeatures=num_features)
     every = movies.select(_tokens(F.coalesce("genres", F.lit(""))).alias("words"))
     idf_model = IDF(inputCol="tf", outputCol="tfidf").fit(htf.transform(every))
-    distinct = _groups(movies).select("gkey").distinct().withColumn(
+    g = _groups(movies) if groups is None else groups
+    distinct = g.select("gkey").distinct().withColumn(
         "words", F.split("gkey", r"\|"))
     vecs = idf_model.transform(htf.transform(distinct))
     return vecs.select("gkey", vector_to_array("tfidf").alias("features"))
@@ -86,26 +89,40 @@ def expand_group_similarity(group_sims: DataFrame, members: DataFrame,
                             k: int) -> DataFrame:
     """(ga, gb, score) + (mid, gkey) -> (mid, sim_mid, score, rk) per item.
 
-    Self pairs (mid == sim_mid) are removed; order is score desc, sim_mid asc.
+    Self pairs (mid == sim_mid) are removed; order is score desc, sim_mid asc.  An item
+    of one row takes its group's ordered list as it is, less itself, so the items' lists
+    are neither sorted nor shuffled; only ids of several rows have theirs merged.
     """
-    a = members.select(F.col("mid"), F.col("gkey").alias("ga"))
     smallest = top_k_per_key(
         members.select(F.col("gkey").alias("gb"), F.col("mid").alias("sim_mid")),
         "gb", [F.asc("sim_mid")], k + 1, "_r").drop("_r")
     per_group = top_k_per_key(
         group_sims.join(smallest, "gb").select("ga", "sim_mid", "score"),
-        "ga", [F.desc("score"), F.asc("sim_mid")], k + 1, "_r").drop("_r")
-    pairs = a.join(per_group, "ga").where(F.col("mid") != F.col("sim_mid"))
-    return top_k_per_key(pairs.select("mid", "sim_mid", "score"), "mid",
-                         [F.desc("score"), F.asc("sim_mid")], k)
-
-
-def _keyed_vectors(movies: DataFrame, hashed: bool, num_features: int) -> DataFrame:
+        "ga", [F.desc("score"), F.asc("sim_mid")], k + 1, "_r")
+    lists = saved(per_group.groupBy("ga").agg(F.sort_array(F.collect_list(
+        F.struct("_r", "sim_mid", "score"))).alias("_l")), "content-lists")
+    own = members.groupBy("mid").agg(F.count(F.lit(1)).alias("_n"), F.min("gkey").alias("ga"))
+    others = F.slice(F.filter("_l", lambda x: x["sim_mid"] != F.col("mid")), 1, k)
+    single = own.where("_n = 1").join(lists, "ga").select(
+        "mid", F.posexplode(others).alias("_at", "_o")).select(
+        "mid", F.col("_o.sim_mid").alias("sim_mid"), F.col("_o.score").alias("score"),
+        (F.col("_at") + 1).cast("long").alias("rk"))
+    repeated = members.join(own.where("_n > 1").select("mid"), "mid").select(
+        "mid", F.col("gkey").alias("ga"))
+    pairs = repeated.join(lists.select("ga", F.explode("_l").alias("_o")), "ga").select(
+        "mid", "_o.sim_mid", "_o.score").where(F.col("mid") != F.col("sim_mid"))
+    return single.unionByName(top_k_per_key(pairs, "mid",
+                                            [F.desc("score"), F.asc("sim_mid")], k))
+
+
+def _keyed_vectors(movies: DataFrame, groups: DataFrame, hashed: bool,
+                   num_features: int) -> DataFrame:
     """(gid, gkey, vector columns): a group's id is its smallest item id, so two
     groups never share one.  Read several times, hence written once, to the
-    shared folder."""
-    vectors = tfidf_hashed(movies, num_features) if hashed else tfidf_exact(movies)
-    ids = _groups(movies).groupBy("gkey").agg(F.min("mid").alias("gid"))
+    shared folder, as are the items' groups."""
+    vectors = (tfidf_hashed(movies, num_features, groups) if hashed
+               else tfidf_exact(movies, groups))
+    ids = groups.groupBy("gkey").agg(F.min("mid").alias("gid"))
     return saved(vectors.join(ids, "gkey"), "content-vectors")
 
 
@@ -127,7 +144,9 @@ def similar_groups(movies: DataFrame, floor: float = ITEM_SIM_FLOOR, digits: int
     itself included; a group is named by its smallest item id.  With
     ``group_members`` this is the whole uncut list, without writing it out item
     by item: items of ``ga`` and ``gb`` are similar by ``score``."""
-    return _group_sims(_keyed_vectors(movies, hashed, num_features), floor, None, digits, hashed)
+    groups = saved(_groups(movies), "content-groups")
+    return _group_sims(_keyed_vectors(movies, groups, hashed, num_features), floor, None, digits,
+                       hashed)
 
 
 def group_members(movies: DataFrame) -> DataFrame:
@@ -145,7 +164,8 @@ def content_similar_items(movies: DataFrame, k: int, floor: float = ITEM_SIM_FLO
     ``hashed=True`` follows the original feature pipeline (50 hashed buckets,
     collisions possible); the default uses exact terms.
     """
-    keyed = _keyed_vectors(movies, hashed, num_features)
-    members = _groups(movies).join(keyed.select("gkey", "gid"), "gkey").select(
+    groups = saved(_groups(movies), "content-groups")
+    keyed = _keyed_vectors(movies, groups, hashed, num_features)
+    members = groups.join(keyed.select("gkey", "gid"), "gkey").select(
         "mid", F.col("gid").alias("gkey"))
     return expand_group_similarity(_group_sims(keyed, floor, k, digits, hashed), members, k)

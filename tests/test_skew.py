@@ -116,3 +116,34 @@ def test_content_expansion_exact_under_hot_group(spark):
         cand.sort()
         want += [(a, b, -s, i + 1) for i, (s, b) in enumerate(cand[:k])]
     assert got == sorted(want)
+
+
+def test_expanded_lists_are_not_sorted_by_item(spark):
+    """Items of one row take their group's list as it is; an id of several rows, also in
+    several groups, has its lists merged; null ids count as neighbours of none."""
+    from recspark.operators.content import expand_group_similarity
+    members = [(i, i % 3) for i in range(30)] + [(4, 1), (5, 0), (None, 0)]
+    sims = [(a, b, 1.0 if a == b else round(0.9 - 0.1 * (a + b), 1))
+            for a in range(3) for b in range(3)]
+    m = spark.createDataFrame(members, "mid int, gkey int")
+    g = spark.createDataFrame(sims, "ga int, gb int, score double")
+    out = expand_group_similarity(g, m, 6)
+    key = lambda x: (-x[0], x[1] is not None, x[1])
+    want = []
+    for a in {i for i, _ in members if i is not None}:
+        every = []
+        for ga in [x for i, x in members if i == a]:
+            smallest = {b: sorted((i for i, x in members if x == b),
+                                  key=lambda i: (i is not None, i))[:7] for b in range(3)}
+            lists = sorted(((s, i) for x, b, s in sims if x == ga for i in smallest[b]),
+                           key=key)[:7]
+            every += [(s, i) for s, i in lists if i not in (a, None)]
+        want += [(a, i, s, n + 1) for n, (s, i) in enumerate(sorted(every, key=key)[:6])]
+    assert sorted((r.mid, r.sim_mid, r.score, r.rk) for r in out.collect()) == sorted(want)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = expand_group_similarity(g, m, 6)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    above = plan.split("posexplode")[0]
+    assert "posexplode" in plan and not any(x in above for x in ("Exchange", "Sort", "Window"))
