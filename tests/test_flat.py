@@ -1,0 +1,84 @@
+"""Vectors in files: the rows of the packs and blocks that copy them, for large tables."""
+
+import numpy as np
+import pytest
+
+from recspark.operators import factors, flat, similarity
+from test_als import _planted
+
+
+def _table(spark, m, first=0, kind="float"):
+    return spark.createDataFrame([(first + i, [float(x) for x in r]) for i, r in enumerate(m)],
+                                 f"id int, vector array<{kind}>")
+
+
+@pytest.mark.parametrize("kind,positive", [("float", True), ("double", False)])
+def test_matches_in_files_equal_those_of_packs(spark, monkeypatch, kind, positive):
+    monkeypatch.setattr(flat, "MOST_COPIES", 0)
+    monkeypatch.setattr(factors, "_score_pairs", None)            # no pack meets a part
+    monkeypatch.setattr(factors, "TILE_COLS", 16)
+    rng = np.random.default_rng(6)
+    u = rng.normal(size=(37, 4)).astype(np.float32)
+    v = (rng.normal(size=(90, 4)) * rng.exponential(size=(90, 1))).astype(np.float32)
+    v[10] = v[11] = v[12]
+    v[20:40] = 0
+    s = u.astype(float) @ v.astype(float).T
+    want = sorted((i, r + 1, 100 + int(j)) for i in range(len(u))
+                  for r, j in enumerate(np.lexsort((np.arange(90), -s[i]))[:6])
+                  if s[i][j] > 0 or not positive)
+    left, right = _table(spark, u, kind=kind), _table(spark, v, 100, kind).repartition(5)
+    got = factors.best_matches(left, right, 6, positive=positive).collect()
+    assert sorted((x.id, x.rk, x.other) for x in got) == want
+    assert max(abs(x.score - s[x.id][x.other - 100]) for x in got) < 1e-9
+    gone = spark.createDataFrame([(i, 100 + int(np.argmax(s[i]))) for i in range(len(u))],
+                                 "id int, other int")
+    got = factors.best_matches(left, right, 1, exclude=gone).collect()
+    assert sorted((x.id, x.other) for x in got) == [
+        (i, 100 + int(np.lexsort((np.arange(90), -s[i]))[1])) for i in range(len(u))]
+    with pytest.raises(Exception):
+        flat.written(right.unionByName(_table(spark, [[1.0]], kind=kind)).selectExpr(
+            "cast(id as long) id", "vector", "1.0D as norm"), "odd")
+
+
+def test_similar_rows_in_files_equal_those_of_blocks(spark, monkeypatch):
+    rng = np.random.default_rng(2)
+    v = rng.normal(size=(150, 3)).round(1)
+    v[5], v[6], v[7] = 0, v[8], v[8]
+    df = _table(spark, v, kind="double").withColumnsRenamed({"id": "mid", "vector": "features"})
+    df = df.unionByName(df.where("mid < 3"))                      # ids may repeat
+    ways = [dict(floor=0.3, k=4), dict(floor=-1.0, k=3, digits=2),
+            dict(floor=0.5, k=2, digits=1, keep_ties=True), dict(floor=0.9, k=5, include_self=True)]
+    want = [sorted(map(tuple, similarity.similar_items(df, **w).collect())) for w in ways]
+    monkeypatch.setattr(flat, "MOST_COPIES", 0)
+    monkeypatch.setattr(similarity, "_dense_scorer", None)
+    monkeypatch.setattr(similarity, "TILE_COLS", 32)
+    for w, rows in zip(ways, want):
+        got = sorted(map(tuple, similarity.similar_items(df, **w).collect()))
+        assert [r[:2] + r[3:] for r in got] == [r[:2] + r[3:] for r in rows]
+        assert np.allclose([r[2] for r in got], [r[2] for r in rows], atol=1e-12)
+
+
+def test_many_ratings_are_spark_mls_model_without_its_blocks(spark, monkeypatch):
+    r = _planted(spark, users=60, items=50)
+    theirs = factors.als(4, 3, 0.1, 9).fit(r)
+    monkeypatch.setattr(factors, "ML_RATINGS", 10)
+    inner, seen = factors.als, []
+
+    class Watched:
+        def __init__(self, *a, **k):
+            self.inner = inner(*a, **k)
+
+        def fit(self, rows):
+            seen.append((self.inner.getMaxIter(), rows.count()))
+            return self.inner.fit(rows)
+
+    monkeypatch.setattr(factors, "als", Watched)
+    mine = factors.fit_als(r, 4, 3, 0.1, 9)
+    assert seen == [(0, 60)]                          # start factors, from a row a user
+    for side in ("userFactors", "itemFactors"):
+        a, b = ({x.id: np.array(x.features) for x in getattr(m, side).collect()}
+                for m in (mine, theirs))
+        assert a.keys() == b.keys() and max(np.abs(a[i] - b[i]).max() for i in a) < 1e-4
+    for odd in ("null, 1, 2.0D", "1, null, 2.0D", "1, 1, null", "1, 1, double('NaN')"):
+        with pytest.raises(Exception):
+            factors.fit_als(r.union(spark.sql(f"select {odd}")), 4, 3, 0.1, 9)
