@@ -16,7 +16,7 @@ def _table(spark, m, first=0, kind="float"):
 def test_matches_in_files_equal_those_of_packs(spark, monkeypatch, kind, positive):
     monkeypatch.setattr(flat, "MOST_COPIES", 0)
     monkeypatch.setattr(factors, "_score_pairs", None)            # no pack meets a part
-    monkeypatch.setattr(factors, "TILE_COLS", 16)
+    monkeypatch.setattr(factors, "SINGLE_COLS", 16)
     rng = np.random.default_rng(6)
     u = rng.normal(size=(37, 4)).astype(np.float32)
     v = (rng.normal(size=(90, 4)) * rng.exponential(size=(90, 1))).astype(np.float32)
@@ -51,7 +51,7 @@ def test_similar_rows_in_files_equal_those_of_blocks(spark, monkeypatch):
     want = [sorted(map(tuple, similarity.similar_items(df, **w).collect())) for w in ways]
     monkeypatch.setattr(flat, "MOST_COPIES", 0)
     monkeypatch.setattr(similarity, "_dense_scorer", None)
-    monkeypatch.setattr(similarity, "TILE_COLS", 32)
+    monkeypatch.setattr(similarity, "SINGLE_COLS", 32)
     for w, rows in zip(ways, want):
         got = sorted(map(tuple, similarity.similar_items(df, **w).collect()))
         assert [r[:2] + r[3:] for r in got] == [r[:2] + r[3:] for r in rows]
