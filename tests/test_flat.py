@@ -3,7 +3,7 @@
 import numpy as np
 import pytest
 
-from recspark.operators import factors, flat, similarity
+from recspark.operators import factors, flat, lsh, similarity
 from test_als import _planted
 
 
@@ -82,3 +82,22 @@ def test_many_ratings_are_spark_mls_model_without_its_blocks(spark, monkeypatch)
     for odd in ("null, 1, 2.0D", "1, null, 2.0D", "1, 1, null", "1, 1, double('NaN')"):
         with pytest.raises(Exception):
             factors.fit_als(r.union(spark.sql(f"select {odd}")), 4, 3, 0.1, 9)
+
+
+def test_approximate_pairs_in_files_equal_those_whose_rows_carry_vectors(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    v = np.concatenate([rng.normal(size=(300, 6)), np.tile(rng.normal(size=(1, 6)), (70, 1))])
+    v[3] = 0
+    df = _table(spark, v, kind="double").withColumnsRenamed({"id": "mid", "vector": "features"})
+    df = df.unionByName(df.where("mid < 3")).repartition(4)
+    ways = [dict(floor=0.6, k=4), dict(floor=0.8, k=None, digits=3)]
+    want = [sorted(map(tuple, lsh.similar_items_approx(df, block_size=16, **w).collect()))
+            for w in ways]
+    monkeypatch.setattr(flat, "MOST_COPIES", 0)
+    monkeypatch.setattr(lsh, "_carried", None)                    # rows carry no vectors
+    for w, rows in zip(ways, want):
+        got = lsh.similar_items_approx(df, block_size=16, **w)
+        assert "_code:binary" not in got._jdf.queryExecution().optimizedPlan().toString()
+        got = sorted(map(tuple, got.collect()))
+        assert len(got) > 100 and [r[:2] + r[3:] for r in got] == [r[:2] + r[3:] for r in rows]
+        assert np.allclose([r[2] for r in got], [r[2] for r in rows], atol=1e-12)
