@@ -5,6 +5,9 @@ import random
 import pytest
 from pyspark.sql import types as T
 
+# This module hides tests/conftest.py from those collected after it.
+SF_SMALL = "/root/testdata/sf0.001"
+
 DOCS = T.StructType([
     T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()),
     T.StructField("lang", T.StringType()), T.StructField("source", T.StringType()),
